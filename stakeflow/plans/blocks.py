@@ -13,7 +13,6 @@ from stakeflow.functions.numeric import (
 from stakeflow.functions.times import seconds_between
 from stakeflow.operators import islands, next_values
 from stakeflow.plans.validators import enrich
-from stakeflow.sources.sinks import replace_rows
 from stakeflow.sources.tables import producer_rewards
 
 RANGE_KEY = ["validator_id", "miner", "start_block"]
@@ -85,31 +84,39 @@ def dim_miner_validators_increment(
     """
     fresh = producer_rewards(new_rewards)
     ends = current.groupBy("validator_id").agg(F.max("end_block").alias("_end"))
+    # One row per validator of the batch.
     touched = fresh.groupBy("validator_id").agg(F.min("block_number").alias("_from")).join(
         ends, "validator_id", "left"
-    ).select("validator_id", F.coalesce(F.col("_from") <= F.col("_end"), F.lit(False)).alias("late"))
-    late = touched.filter("late").select("validator_id")
-
-    open_ranges = current.filter("is_current").join(touched.filter(~F.col("late")), "validator_id", "left_semi")
-    ahead = _producer_blocks(fresh, blocks).join(late, "validator_id", "left_anti")
-    rows = open_ranges.select(
-        "validator_id", "miner", "start_block", "end_block", "start_timestamp", "end_timestamp",
+    ).select(
+        "validator_id", F.coalesce(F.col("_from") <= F.col("_end"), F.lit(False)).alias("_late")
+    )
+    late = touched.filter("_late").select("validator_id")
+
+    held = current.join(touched, "validator_id", "left")
+    kept = held.filter(
+        F.col("_late").isNull() | (~F.col("_late") & ~F.col("is_current"))
+    ).select(*current.columns)
+    opened = held.filter(~F.col("_late") & F.col("is_current")).select(
+        *RANGE_KEY, "end_block", "start_timestamp", "end_timestamp",
         F.col("blocks_produced").alias("n"),
-    ).unionByName(
-        ahead.select(
-            "validator_id", "miner",
-            F.col("block_number").alias("start_block"), F.col("block_number").alias("end_block"),
-            F.col("block_timestamp").alias("start_timestamp"),
-            F.col("block_timestamp").alias("end_timestamp"), F.lit(1).cast("bigint").alias("n"),
-        )
     )
-    extended = _published_ranges(islands(
-        rows, "validator_id", "start_block", "miner", "start_timestamp",
+    again = _producer_blocks(
+        fresh.join(late, "validator_id", "left_anti").select(*rewards.columns).unionByName(
+            rewards.join(late, "validator_id", "left_semi")
+        ),
+        blocks,
+    )
+    single = again.select(
+        "validator_id", "miner",
+        F.col("block_number").alias("start_block"), F.col("block_number").alias("end_block"),
+        F.col("block_timestamp").alias("start_timestamp"),
+        F.col("block_timestamp").alias("end_timestamp"), F.lit(1).cast("bigint").alias("n"),
+    )
+    ranges = _published_ranges(islands(
+        opened.unionByName(single), "validator_id", "start_block", "miner", "start_timestamp",
         end="end_block", end_ts="end_timestamp", count="n",
     ))
-    rebuilt = dim_miner_validators(rewards.join(late, "validator_id", "left_semi"), blocks)
-    kept = current.join(late, "validator_id", "left_anti")
-    return replace_rows(kept, extended, RANGE_KEY).select(*extended.columns).unionByName(rebuilt)
+    return kept.select(*ranges.columns).unionByName(ranges)
 
 
 def fact_block_priority_fees(

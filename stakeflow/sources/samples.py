@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from stakeflow.functions.hexwords import address_word, int_word
 from stakeflow.functions.numeric import RAW
 from stakeflow.plans import balances, blocks, decisions, earnings, events, snapshots, validators
-from stakeflow.session import tune
+from stakeflow.session import shared_dir, tune
 from stakeflow.sources.contracts import conform
 from stakeflow.sources.tables import REWARD_SELECTOR, STAKING_CONTRACT
 
@@ -73,15 +73,25 @@ def _block_time(number: Column) -> Column:
 class SampleChain:
     """Inputs, facts and published tables over one folder of sample tables.
 
-    Everything is lazy; nothing is cached or collected.
+    Everything is lazy: a chain holds query plans, never data.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = tune(spark)
         self.folder = folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
+        self._facts: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
+
+    def stored(self, df: DataFrame, purpose: str) -> DataFrame:
+        """``df`` written to the shared folder and read back, as a published table is."""
+        path = shared_dir(self.spark, purpose)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
 
     # --- inputs --------------------------------------------------------------
 
@@ -391,7 +401,9 @@ class SampleChain:
     # --- facts and published tables -------------------------------------------
 
     def fact(self, name: str) -> DataFrame:
-        return events.fact(self.event_logs, name)
+        if name not in self._facts:
+            self._facts[name] = events.fact(self.event_logs, name)
+        return self._facts[name]
 
     @cached_property
     def created(self) -> DataFrame:

@@ -41,6 +41,18 @@ def rows_of(names: list[str], rows) -> Counter:
     return Counter(tuple(plain(r[i]) for i in order) for r in rows)
 
 
+# DuckDB type of each Spark type, for the types the queries return.
+SAME_TYPE = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_gaps(mine: dict[str, str], theirs: dict[str, str]) -> dict[str, tuple[str, str]]:
+    same = {c: SAME_TYPE.get(t, t.upper()) for c, t in mine.items()}
+    return {c: (mine[c], theirs[c]) for c in mine if same[c] != theirs[c].replace(", ", ",")}
+
+
 def compare(spark, con, folder: str, name: str) -> str:
     df = QUERIES[name](spark, folder)
     mine = rows_of(df.columns, [tuple(r) for r in df.collect()])
@@ -51,8 +63,9 @@ def compare(spark, con, folder: str, name: str) -> str:
     theirs = rows_of(cols, cur.fetchall())
     if sorted(cols) != sorted(df.columns):
         return f"COLUMNS differ: {sorted(set(cols) ^ set(df.columns))}"
+    kinds = type_gaps(dict(df.dtypes), {d[0]: str(d[1]) for d in cur.description})
     if mine == theirs:
-        return f"ok {sum(mine.values())} rows"
+        return f"TYPES differ: {kinds}" if kinds else f"ok {sum(mine.values())} rows"
     only, other = list((mine - theirs).elements()), list((theirs - mine).elements())
     names = sorted(cols)
     note = f"VALUES differ: {len(only)} vs {len(other)} of {sum(mine.values())}/{sum(theirs.values())}"

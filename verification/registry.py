@@ -29,11 +29,17 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+@lru_cache(maxsize=16)
+def chain(spark: SparkSession, folder: str) -> SampleChain:
+    """One set of query plans per session and folder. Plans only: no data is kept."""
+    return SampleChain(spark, folder)
+
+
 def query(name: str, sql: str | None):
     """Register a function of a SampleChain."""
 
     def register(fn: Callable[[SampleChain], DataFrame]):
-        QUERIES[name] = lambda spark, folder: fn(SampleChain(spark, folder))
+        QUERIES[name] = lambda spark, folder: fn(chain(spark, folder))
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -508,7 +514,9 @@ def _miner_increment(c: SampleChain) -> DataFrame:
     """Two thirds of the blocks published, the rest and some late ones arriving."""
     number, newest = F.col("block_number"), c.blocks.agg(F.max("block_number")).scalar()
     is_new = (number > newest * 2 / 3) | ((F.col("validator_id") == 3) & (number % 7 == 0))
-    published = blocks.dim_miner_validators(c.rewards.filter(~is_new), c.blocks)
+    published = c.stored(
+        blocks.dim_miner_validators(c.rewards.filter(~is_new), c.blocks), "miner-ranges"
+    )
     return blocks.dim_miner_validators_increment(
         published, c.rewards.filter(is_new), c.rewards, c.blocks
     )
@@ -568,7 +576,7 @@ query("M15_ez_staking_balances_daily", o.published("stake_days"))(
 ))
 def _balance_increment(c: SampleChain) -> DataFrame:
     since = dt.date(2024, 1, 27)
-    published = c.stake_balances(as_of=dt.date(2024, 1, 30))
+    published = c.stored(c.stake_balances(as_of=dt.date(2024, 1, 30)), "stake-balances")
     return c.stake_balances(previous=published, since=since)
 
 
@@ -589,9 +597,9 @@ query("M19_ez_validator_balances_daily", o.published("wallet_balances"))(
     "SELECT * FROM wallet_balances WHERE balance_date >= DATE '2024-01-23'"
 ))
 def _wallet_increment(c: SampleChain) -> DataFrame:
-    published = balances.ez_validator_balances_daily(
+    published = c.stored(balances.ez_validator_balances_daily(
         c.created, c.native_balances, c.prices, as_of=dt.date(2024, 1, 30)
-    )
+    ), "wallet-balances")
     return balances.ez_validator_balances_daily(
         c.created, c.native_balances, c.prices, as_of=AS_OF, previous=published,
         since=dt.date(2024, 1, 23),
@@ -700,8 +708,3 @@ def _stream(c: SampleChain) -> DataFrame:
     return c.spark.read.parquet(f"{root}/target").drop(
         "inserted_timestamp", "modified_timestamp", "block_date"
     )
-
-
-@lru_cache(maxsize=1)
-def names() -> tuple[str, ...]:
-    return tuple(QUERIES)
