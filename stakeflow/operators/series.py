@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stakeflow.functions.numeric import RAW, clamped_tokens, exact_avg
+from stakeflow.functions.numeric import EXACT, RAW, clamped_tokens
 from stakeflow.operators.ordered import fill_last, prefix_sums
 
 
@@ -134,11 +134,18 @@ def rolling_mean_rows(
     own = F.floor(at / block)
     lent = F.when(at % block >= block - reach, F.array(own, own + 1)).otherwise(F.array(own))
     spread = numbered.withColumn("_own", own).withColumn("_block", F.explode(lent))
-    frame = Window.partitionBy(*keys, "_block").orderBy("_row")
-    averaged = spread.withColumns(
-        {
-            out: exact_avg(value, frame.rowsBetween(1 - n, 0))
-            for out, n in sizes.items()
-        }
-    )
+    in_block = Window.partitionBy(*keys, "_block").orderBy("_row")
+    upto = in_block.rowsBetween(Window.unboundedPreceding, 0)
+    # A frame is the difference of two running sums, exact in decimals, so its cost
+    # does not grow with its length.
+    running = spread.withColumns({
+        "_sum": F.sum(F.col(value).cast(EXACT)).over(upto), "_n": F.count(value).over(upto),
+    })
+
+    def mean(n: int) -> Column:
+        earlier = F.coalesce(F.lag("_sum", n).over(in_block), F.lit(0).cast(EXACT))
+        rows = F.col("_n") - F.coalesce(F.lag("_n", n).over(in_block), F.lit(0))
+        return (F.col("_sum") - earlier).cast(EXACT).cast("double") / F.nullif(rows, F.lit(0))
+
+    averaged = running.withColumns({out: mean(n) for out, n in sizes.items()})
     return averaged.filter(F.col("_block") == F.col("_own")).select(*df.columns, *sizes)

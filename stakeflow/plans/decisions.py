@@ -32,7 +32,8 @@ def ez_restart_impact(
     Based on epochs from ten before the latest one, and 30 days of earnings.
     """
     recent_from = performance.agg(F.max("epoch") - 10)
-    stats = performance.filter(F.col("epoch") >= recent_from.scalar()).groupBy(
+    recent = performance.filter(F.col("epoch") >= recent_from.scalar())
+    stats = recent.groupBy(
         "validator_id", F.col("validator_address").alias("auth_address")
     ).agg(
         F.avg("actual_blocks_produced").alias("avg_blocks_per_epoch"),
@@ -40,9 +41,8 @@ def ez_restart_impact(
         exact_avg("total_block_rewards").alias("avg_rewards_per_epoch"),
         F.count("*").alias("epochs_analyzed"),
     )
-    typical = epochs.join(performance.select("epoch").distinct(), "epoch", "left_semi").filter(
-        (F.col("epoch") >= recent_from.scalar())
-        & (F.col("epoch_duration_seconds") > 0) & (F.col("epoch_block_count") > 0)
+    typical = epochs.join(recent.select("epoch").distinct(), "epoch", "left_semi").filter(
+        (F.col("epoch_duration_seconds") > 0) & (F.col("epoch_block_count") > 0)
     ).agg(
         F.struct(
             F.avg("epoch_block_count").alias("blocks"),

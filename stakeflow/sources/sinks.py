@@ -170,11 +170,28 @@ def upsert_replace(
 
 def replace_partitions(
     spark: SparkSession, path: str, batch: DataFrame, partition: str,
-    cluster_by: Sequence[str] = (), audit: bool = True,
+    cluster_by: Sequence[str] = (), audit: bool = True, covered: Sequence = (),
 ) -> None:
-    """Replace every partition present in the batch as a whole."""
-    write_clustered(with_audit(batch) if audit else batch, path, partition, cluster_by)
-    spark.catalog.refreshByPath(path)
+    """Replace every partition present in the batch as a whole.
+
+    ``covered`` lists partition values the batch accounts for; those it has no rows
+    for are removed.
+    """
+    staged_path = f"{path.rstrip('/')}__batch_{uuid.uuid4().hex}"
+    (with_audit(batch) if audit else batch).write.parquet(staged_path)
+    try:
+        staged = spark.read.parquet(staged_path)
+        write_clustered(staged, path, partition, cluster_by)
+        if covered:
+            held = {str(r[0]) for r in staged.select(partition).distinct().collect()}
+            for value in covered:
+                fs, p = _fs(spark, f"{path.rstrip('/')}/{partition}={value}")
+                if str(value) not in held and fs.exists(p):
+                    fs.delete(p, True)
+        spark.catalog.refreshByPath(path)
+    finally:
+        fs, p = _fs(spark, staged_path)
+        fs.delete(p, True)
 
 
 def merge_upsert(
