@@ -94,12 +94,11 @@ def prefix_sums(
 ) -> DataFrame:
     """Add running sums ``{new: source}`` up to and including each row."""
     spanned = df.withColumn(SPAN, span_of(df, order, width))
-    summary = spanned.groupBy(*keys, SPAN).agg(
-        *[F.sum(src).alias(src) for src in set(cols.values())]
-    )
+    sources = sorted(set(cols.values()))
+    summary = spanned.groupBy(*keys, SPAN).agg(*[F.sum(src).alias(src) for src in sources])
     before = Window.partitionBy(*keys).orderBy(SPAN).rowsBetween(Window.unboundedPreceding, -1)
     edges = summary.select(
-        *keys, SPAN, *[F.sum(src).over(before).alias(src) for src in set(cols.values())]
+        *keys, SPAN, *[F.sum(src).over(before).alias(src) for src in sources]
     )
     upto = (
         Window.partitionBy(*keys, SPAN)

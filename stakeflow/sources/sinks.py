@@ -6,10 +6,11 @@ writers apply them to Parquet, rewriting only the partitions a batch touches.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from stakeflow.functions.keys import with_audit
 
@@ -84,10 +85,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+SCHEMA_FILE = "_schema.json"  # Spark skips names that start with an underscore
+
+
 def read_target(spark: SparkSession, path: str) -> DataFrame | None:
+    """A stored table with all columns it ever got, or None when there is none.
+
+    Older partitions may lack columns added later. The current schema is kept in a
+    small file, which spares a scan of every footer.
+    """
     if not exists(spark, path):
         return None
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    fs, p = _fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    if not fs.exists(p):
+        return spark.read.parquet(path)
+    stream = fs.open(p)
+    text = bytes(stream.readAllBytes()).decode()
+    stream.close()
+    return spark.read.schema(T.StructType.fromJson(json.loads(text))).parquet(path)
+
+
+def _keep_schema(df: DataFrame, path: str) -> None:
+    fs, p = _fs(df.sparkSession, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    stream = fs.create(p, True)
+    stream.write(bytearray(df.schema.json().encode()))
+    stream.close()
 
 
 def write_clustered(
@@ -96,21 +118,24 @@ def write_clustered(
 ) -> None:
     """Write Parquet laid out for pruning.
 
-    ``partition`` becomes directories. ``cluster_by`` range-sorts rows so that file
-    and row-group statistics prune scans. Rebalancing keeps a large day from
-    becoming one file.
+    ``partition`` becomes directories; rebalancing gives a large day several files
+    and a small one a single file. ``cluster_by`` sorts rows, by range over the
+    whole table where there are no directories, so that file and row-group
+    statistics prune scans.
     """
     out = df
-    if cluster_by:
-        lead = [partition] if partition else []
-        cols = [F.col(c) for c in [*lead, *cluster_by]]
-        out = out.repartitionByRange(*([files] if files else []), *cols).sortWithinPartitions(*cols)
-    elif partition:
+    if partition:
         out = out.hint("rebalance", F.col(partition))
+        if cluster_by:
+            out = out.sortWithinPartitions(partition, *cluster_by)
+    elif cluster_by:
+        out = out.repartitionByRange(*([files] if files else []), *cluster_by)
+        out = out.sortWithinPartitions(*cluster_by)
     writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition:
         writer = writer.partitionBy(partition)
     writer.parquet(path)
+    _keep_schema(df, path)
 
 
 def swap_in(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> None:
@@ -181,6 +206,9 @@ def replace_partitions(
     (with_audit(batch) if audit else batch).write.parquet(staged_path)
     try:
         staged = spark.read.parquet(staged_path)
+        target = read_target(spark, path)
+        if target is not None:
+            staged = align_schema(target, staged)[1]
         write_clustered(staged, path, partition, cluster_by)
         if covered:
             held = {str(r[0]) for r in staged.select(partition).distinct().collect()}

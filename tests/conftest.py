@@ -13,6 +13,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("stakeflow-tests", memory="6g")
+    session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()
 

@@ -38,6 +38,7 @@ def test_contract_names_the_problem(spark):
 
 def test_filters_and_columns_reach_the_scan(spark, chain, path):
     chain.event_logs.write.parquet(path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     plan = events.fact_delegations(tables.read_table(spark, "event_logs", path))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(event_name,Delegate)" in text and "EqualTo(contract_address," in text
@@ -104,13 +105,14 @@ def test_watermarks_and_windows(spark):
     assert [r["d"] for r in rows(missing)] == [day(5)]
 
 
-def test_shared_folder_setting_is_used(spark, tmp_path):
-    assert "stakeflow-" in shared_dir(spark, "x")
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert shared_dir(spark, "x").startswith(str(tmp_path))
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_shared_folder_setting_is_used():
+    class Session:
+        def __init__(self, folder):
+            self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+
+    assert shared_dir(Session("hdfs://data/"), "x").startswith("hdfs://data/x-")
+    assert "stakeflow-" in shared_dir(Session(None), "x")
+    assert shared_dir(Session("s"), "x") != shared_dir(Session("s"), "x")
 
 
 def test_event_fact_refresh_in_steps(spark, chain, path):

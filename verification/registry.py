@@ -667,12 +667,63 @@ query("R9_validator_identity", o.statement(
     "SELECT validator_id, validator_name, auth_address AS operator_address, consensus_address, "
     "created_at AS registration_date, initial_commission_pct, current_commission_pct, status FROM validators"
 ))(lambda c: reports.validator_identity(c.validators))
-query("R9_miss_rate_listing", o.statement(
-    "SELECT epoch, validator_id, expected_blocks_per_validator, actual_blocks_produced, missed_blocks, "
-    "miss_rate_pct, uptime_pct, estimated_missed_commission_mon, estimated_missed_commission_usd FROM miss_rate"
-))(lambda c: reports.listing(
-    blocks.ez_miss_rate(c.performance(), c.earnings(), c.prices), "miss_rate"
-))
+
+# Listings: the published table each one reads, and its relation in SQL.
+LISTED: dict[str, tuple[Callable[[SampleChain], DataFrame], str]] = {
+    "daily_earnings": (lambda c: c.earnings(c.validators), "earnings"),
+    "usd_value": (lambda c: c.earnings(), "earnings"),
+    "reward_history": (lambda c: c.earnings(), "earnings"),
+    "apr": (
+        lambda c: earnings.ez_validator_apr(c.earnings(), c.validator_snapshots, c.validators), "apr"
+    ),
+    "block_production": (
+        lambda c: blocks.ez_block_production(c.rewards, c.validators), "production"
+    ),
+    "block_fees": (lambda c: c.fees, "fees"),
+    "epoch_performance": (lambda c: c.performance(c.validators), "performance"),
+    "wallet_balances": (
+        lambda c: balances.ez_validator_balances_daily(
+            c.created, c.native_balances, c.prices, as_of=AS_OF
+        ),
+        "wallet_balances",
+    ),
+    "stake_snapshots": (lambda c: c.validator_snapshots, "vsnaps"),
+    "flows": (
+        lambda c: balances.ez_staking_flows_daily(
+            c.fact("delegations"), c.fact("undelegations"), c.fact("withdrawals"),
+            c.fact("rewards_claimed"),
+        ),
+        "flows",
+    ),
+    "net_stake": (
+        lambda c: balances.ez_net_stake_changes(c.fact("delegations"), c.fact("undelegations")),
+        "net_changes",
+    ),
+    "miss_rate": (
+        lambda c: blocks.ez_miss_rate(c.performance(), c.earnings(), c.prices), "miss_rate"
+    ),
+    "restart": (
+        lambda c: decisions.ez_restart_impact(
+            c.performance(), c.epochs, c.earnings(), c.prices, c.validators, as_of=AS_OF
+        ),
+        "restart",
+    ),
+    "compound": (lambda c: c.compound_decision(c.validators), "compound"),
+}
+
+
+def _listing_sql(name: str, rel: str) -> str:
+    columns = reports.LISTINGS[name][0]
+    named = "validator_name" in columns
+    shown = ", ".join(f"v.{c}" if c == "validator_name" else f"t.{c}" for c in columns)
+    join = " LEFT JOIN validators v ON v.validator_id = t.validator_id" if named else ""
+    return o.statement(f"SELECT {shown} FROM {rel} t{join}")
+
+
+for _listing, (_frame, _relation) in LISTED.items():
+    query(f"R9_{_listing}", _listing_sql(_listing, _relation))(
+        lambda c, listing=_listing, frame=_frame: reports.listing(frame(c), listing)
+    )
 
 
 # --- data checks -------------------------------------------------------------------------
