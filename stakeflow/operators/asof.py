@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -34,7 +35,8 @@ def asof_join(
         F.lit(0 if strict else 1).alias("_side"),
         F.struct(*left.columns).alias("_left"),
     )
-    right_rows = right.dropna(subset=list(keys)).select(
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    right_rows = right.filter(known).select(
         *[F.col(k) for k in keys],
         F.col(right_ts).alias("_ts"),
         F.lit(1 if strict else 0).alias("_side"),

@@ -104,18 +104,23 @@ def matched_withdrawals(withdrawals: DataFrame, undelegations: DataFrame) -> Dat
 
 def daily_stake_changes(
     delegations: DataFrame, undelegations: DataFrame, withdrawals: DataFrame,
-    since: dt.date | None = None,
+    until: dt.date, since: dt.date | None = None,
 ) -> DataFrame:
     """Raw active and pending changes per day and pair, rounded to the sixth decimal.
 
-    ``since`` keeps later days only. Undelegations before it still serve as matches.
+    Days after ``since`` and up to ``until``. Undelegations before ``since`` still
+    serve as matches. Both bounds reach the scans.
     """
-    later = (
-        (lambda df: df.filter(F.to_date("block_timestamp") > F.lit(since)))
-        if since else (lambda df: df)
-    )
+    happened = F.to_date("block_timestamp")
+
+    def later(df: DataFrame) -> DataFrame:
+        known = df.filter(happened <= F.lit(until))
+        return known.filter(happened > F.lit(since)) if since else known
+
     amount, none = F.col("amount_raw"), F.lit(0).cast(RAW)
-    settled = matched_withdrawals(later(withdrawals), undelegations)
+    settled = matched_withdrawals(
+        later(withdrawals), undelegations.filter(happened <= F.lit(until))
+    )
     actions = [
         later(delegations).select(
             *PAIR, "block_timestamp", amount.alias("active"), none.alias("pending")
@@ -148,8 +153,8 @@ def ez_staking_balances_daily(
     Balances are summed over days with a change and then held until the next one,
     so days without a change cost neither a shuffle nor a window row.
     """
-    changes = daily_stake_changes(delegations, undelegations, withdrawals, since).filter(
-        F.col("balance_date") <= F.lit(as_of)
+    changes = daily_stake_changes(
+        delegations, undelegations, withdrawals, as_of, since
     ).withColumn("is_seed", F.lit(False))
     if previous is not None:
         held = previous.filter(F.col("balance_date") == F.lit(since)).select(
