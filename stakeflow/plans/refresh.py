@@ -35,13 +35,17 @@ def refresh_block_fees(
     path: str,
 ) -> None:
     """Priority fees: blocks with new transactions are recomputed as a whole."""
-    mark = high_watermark(read_target(spark, path), MARK, BEGINNING)
+    target = read_target(spark, path)
+    mark = high_watermark(target, MARK, BEGINNING)
     newest = high_watermark(transactions, "modified_timestamp", BEGINNING)
     if newest <= mark:
         return
-    batch = blocks.fact_block_priority_fees_increment(
-        transactions, chain_blocks, rewards, mark
-    ).withColumns({
+    fees = (
+        blocks.fact_block_priority_fees(transactions, chain_blocks, rewards)
+        if target is None
+        else blocks.fact_block_priority_fees_increment(transactions, chain_blocks, rewards, mark)
+    )
+    batch = fees.withColumns({
         "block_date": F.to_date("block_timestamp"),
         MARK: F.lit(newest.isoformat(sep=" ")).cast("timestamp_ntz"),
     })
