@@ -97,26 +97,26 @@ FACTS: dict[str, tuple[str, str, dict[str, tuple[str, str]]]] = {
 }
 
 
-def json_fields(
+def with_json_fields(
     df: DataFrame, column: str, fields: Mapping[str, tuple[str, str]], lenient: bool = False
-) -> dict[str, Column]:
-    """``{output: column}`` for typed fields of a JSON text or VARIANT column.
+) -> DataFrame:
+    """Adds typed fields ``{output: (path, type)}`` of a JSON text or VARIANT column.
 
-    JSON text is parsed once per row. Values are read as text first because
-    256-bit integers arrive quoted.
+    Values are read as text first because 256-bit integers arrive quoted. Text is
+    parsed into one struct in a projection of its own: reading fields directly off
+    the parse would be optimised into one parse per field.
     """
     cast = Column.try_cast if lenient else Column.cast
     if isinstance(df.schema[column].dataType, T.VariantType):
         read = F.try_variant_get if lenient else F.variant_get
-        return {
+        return df.withColumns({
             out: cast(read(F.col(column), f"$.{path}", "string"), kind)
             for out, (path, kind) in fields.items()
-        }
+        })
     ddl = ", ".join(f"`{path}` string" for path in dict.fromkeys(p for p, _ in fields.values()))
-    parsed = F.from_json(F.col(column), ddl)
-    return {
-        out: cast(parsed.getField(path), kind) for out, (path, kind) in fields.items()
-    }
+    return df.withColumn("_parsed", F.from_json(F.col(column), ddl)).withColumns({
+        out: cast(F.col("_parsed").getField(path), kind) for out, (path, kind) in fields.items()
+    }).drop("_parsed")
 
 
 def extract_event(
@@ -129,7 +129,7 @@ def extract_event(
 ) -> DataFrame:
     """Rows of one event with typed fields; ``x_raw`` in ``scaled`` also yields ``x``."""
     rows = events.filter(F.col("event_name") == event_name)
-    typed = rows.withColumns(json_fields(rows, "decoded_log", fields))
+    typed = with_json_fields(rows, "decoded_log", fields)
     typed = typed.withColumns({raw.removesuffix("_raw"): tokens(raw) for raw in scaled})
     out: list[str] = []
     for name in fields:

@@ -235,13 +235,12 @@ def _variant(c: SampleChain) -> DataFrame:
     logs = tables.staking_events(c._activity_logs).select(
         F.col("block_number").alias("event_id"), F.parse_json("decoded_log").alias("decoded_log")
     )
-    strict = events.json_fields(logs, "decoded_log", {
+    strict = events.with_json_fields(logs, "decoded_log", {
         "validator_id": ("validatorId", "bigint"), "amount_raw": ("amount", RAW),
     })
-    lenient = events.json_fields(
-        logs, "decoded_log", {"wallet_number": ("delegator", "bigint")}, lenient=True
-    )
-    return logs.select("event_id", *[col.alias(n) for n, col in {**strict, **lenient}.items()])
+    return events.with_json_fields(
+        strict, "decoded_log", {"wallet_number": ("delegator", "bigint")}, lenient=True
+    ).drop("decoded_log")
 
 
 query("P2_unit_scaling", o.statement(
