@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stakeflow.llm import mixture, secret_ledger
+from stakeflow.llm import mixture, near_dups, secret_ledger
 from stakeflow.llm.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,41 @@ def _secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_ledger.digest(secret_ledger.findings(docs, ledger))
 
 
+# --- 4: near duplicates ----------------------------------------------------------
+
+def words_sql(column: str = "text") -> str:
+    """Lower-cased words; only A-Z change."""
+    letters = "".join(map(chr, range(65, 91)))
+    return f"regexp_extract_all(translate({column}, '{letters}', '{letters.lower()}'), '[^\x20\x09-\x0D]+')"
+
+
+query("op4_minhash_near_dups", f"""
+WITH RECURSIVE words AS (SELECT doc_id, COALESCE({words_sql()}, []) AS w FROM documents),
+shingled AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 2], ' ') for i in range(1, len(w) - 1)]) END AS s FROM words
+),
+items AS (SELECT doc_id, unnest(s) AS item FROM shingled),
+pairs AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, COUNT(*) AS common FROM items a JOIN items b USING (item)
+  WHERE a.doc_id < b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT u, v FROM pairs JOIN shingled x ON x.doc_id = u JOIN shingled y ON y.doc_id = v
+  WHERE 100 * common >= 85 * (len(x.s) + len(y.s) - common)
+),
+paths AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach(id, to_) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.id, b.v FROM reach r JOIN paths b ON b.u = r.to_
+),
+low AS (SELECT id, MIN(to_) AS component_id FROM reach GROUP BY id)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, component_id, s.doc_id = component_id AS kept
+FROM shingled s JOIN low ON low.id = s.doc_id
+""")(lambda spark, folder: near_dups.digest(
+    near_dups.near_duplicates(table(spark, folder, "documents"), k=3, least=85)
+))
+
+
 # --- 10: mixing sources -----------------------------------------------------------
 
 def _mix_sql() -> str:
