@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stakeflow.llm import language_id, mixture, near_dups, secret_ledger
+from stakeflow.llm import decontaminate, language_id, mixture, near_dups, secret_ledger
 from stakeflow.llm.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,6 +110,13 @@ FROM shingled s JOIN low ON low.id = s.doc_id
 ))
 
 
+# --- 8: benchmark decontamination ----------------------------------------------------
+
+query("op8_bm25_decontamination")(lambda spark, folder: decontaminate.find_items(
+    table(spark, folder, "documents"), table(spark, folder, "benchmark")
+))
+
+
 # --- 9: language identification -----------------------------------------------------
 
 query("op9_language_id")(lambda spark, folder: language_id.digest(
