@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stakeflow.llm import decontaminate, language_id, mixture, near_dups, secret_ledger
+from stakeflow.llm import decontaminate, exact_topk, language_id, mixture, near_dups, secret_ledger
 from stakeflow.llm.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# --- 1: exact top-k ---------------------------------------------------------------
+
+query("op1_exact_topk", """
+WITH whole AS (
+  SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_sum([q.v[i] * c.v[i] for i in range(1, len(q.v) + 1)])::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+""")(lambda spark, folder: exact_topk.search(table(spark, folder, "embeddings")))
+
+
 # --- 2: secret scans ------------------------------------------------------------
 
 def _spans_sql(rules: tuple) -> str:
