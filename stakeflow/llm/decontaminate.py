@@ -125,68 +125,117 @@ def covered(part: np.ndarray, words, first: int, last: int, k: int, inside: np.n
     return float(np.isin(part, inside).mean())
 
 
+class Finder:
+    """Look-up of words among the index's terms, then block maxima, WAND and verification."""
+
+    def __init__(self, index: dict, threshold: float, overlap: float):
+        self.index, self.threshold, self.overlap = index, threshold, overlap
+        top = (index["terms"] >> np.uint64(44)).astype(np.int64)
+        self.start = np.searchsorted(top, np.arange(1 << 20)).astype(np.int32)
+        self.run = int(np.bincount(top).max())
+        self.terms = np.append(index["terms"], np.zeros(self.run, np.uint64))
+
+    def term_of(self, h: np.ndarray) -> np.ndarray:
+        """Number of the term with each hash, or -1."""
+        near = self.start[(h >> np.uint64(44)).astype(np.int64)]
+        term = np.full(len(h), -1)
+        for step in range(self.run):
+            hit = self.terms[near + step] == h
+            term[hit] = near[hit] + step
+        return term
+
+    def search(self, column: pa.Array) -> Iterator[tuple[int, int, float, float, float]]:
+        """(row, item, score, question overlap, answer overlap) of each row and item, from the first passage that has it."""
+        index, terms, ceiling, cell = self.index, len(self.index["terms"]), self.index["ceiling"], self.index["cell"]
+        for a, b, data, offsets in slices(column):
+            words = split(data, offsets)
+            term = self.term_of(words.hashes())
+            known = np.flatnonzero(term >= 0)
+            if not len(known):
+                continue
+            cells = -(-np.diff(words.first) // cell)
+            base = np.concatenate([[0], np.cumsum(cells)])
+            doc = words.doc[known]
+            place = base[doc] + (known - words.first[doc]) // cell
+            pairs = np.unique(place * np.int64(terms) + term[known])
+            own, what = pairs // terms, pairs % terms
+            lead = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            bound = np.zeros((base[-1] + 1, ceiling.shape[1]), np.float32)
+            bound[own[lead]] = np.add.reduceat(ceiling[what], lead, axis=0)
+            owner = np.repeat(np.arange(b - a), cells)
+            together = bound[:-1].copy()
+            same = np.flatnonzero(owner[1:] == owner[:-1])
+            together[same] += bound[1:-1][same]
+            edges = np.searchsorted(own, np.arange(base[-1] + 2))
+            seen = set()
+            for p, block in zip(*(x.tolist() for x in np.nonzero(together >= self.threshold))):
+                d = int(owner[p])
+                last_cell = p + 2 if p + 1 < len(owner) and owner[p + 1] == d else p + 1
+                held = sorted(set(what[edges[p]:edges[last_cell]].tolist()))
+                first = int(words.first[d] + (p - base[d]) * cell)
+                last = min(int(words.first[d + 1]), first + 2 * cell)
+                for item, score in wand(index, held, block, self.threshold):
+                    if (d, item) in seen:
+                        continue
+                    inside, _ = shingles(words._replace(first=np.array([first, last])), index["k"])
+                    asked, answered = (
+                        covered(index[x][item], words, first, last, index["k"], inside, index["lengths"][x][item])
+                        for x in ("question", "answer")
+                    )
+                    if min(asked, answered) >= self.overlap:
+                        seen.add((d, item))
+                        yield a + d, item, score, asked, answered
+
+
 def _find_batches(shared, threshold: float, overlap: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
-        terms, ceiling, cell = index["terms"], index["ceiling"], index["cell"]
-        top = (terms >> np.uint64(44)).astype(np.int64)
-        start = np.searchsorted(top, np.arange(1 << 20)).astype(np.int32)
-        run_length = int(np.bincount(top).max())
-        guarded = np.append(terms, np.zeros(run_length, np.uint64))
+        finder = Finder(shared.value, threshold, overlap)
         for batch in batches:
-            ids = batch.column(0)
-            rows = []
-            for a, b, data, offsets in slices(batch.column(1)):
-                words = split(data, offsets)
-                h = words.hashes()
-                near = start[(h >> np.uint64(44)).astype(np.int64)]
-                term = np.full(len(h), -1)
-                for step in range(run_length):
-                    hit = guarded[near + step] == h
-                    term[hit] = near[hit] + step
-                known = np.flatnonzero(term >= 0)
-                count = np.diff(words.first)
-                cells = -(-count // cell)
-                base = np.concatenate([[0], np.cumsum(cells)])
-                place = base[words.doc[known]] + (known - words.first[words.doc[known]]) // cell
-                pairs = np.unique(place * np.int64(len(terms)) + term[known])
-                if not len(pairs):
-                    continue
-                own, what = pairs // len(terms), pairs % len(terms)
-                bound = np.zeros((base[-1] + 1, ceiling.shape[1]), np.float32)
-                lead = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-                bound[own[lead]] = np.add.reduceat(ceiling[what], lead, axis=0)
-                owner = np.repeat(np.arange(b - a), cells)
-                together = bound[:-1].copy()
-                same = np.flatnonzero(owner[1:] == owner[:-1])
-                together[same] += bound[1:-1][same]
-                edges = np.searchsorted(own, np.arange(base[-1] + 2))
-                passages, blocks = np.nonzero(together >= threshold)
-                seen = set()
-                for p, block in zip(passages.tolist(), blocks.tolist()):
-                    d = owner[p]
-                    pair = p + 1 < len(owner) and owner[p + 1] == d
-                    held = set(what[edges[p]:edges[p + 2 if pair else p + 1]].tolist())
-                    for item, score in wand(index, sorted(held), block, threshold):
-                        first = words.first[d] + (p - base[d]) * cell
-                        last = min(words.first[d + 1], first + 2 * cell)
-                        inside, _ = shingles(words._replace(first=np.array([first, last])), index["k"])
-                        asked, answered = (
-                            covered(index[x][item], words, first, last, index["k"], inside, index["lengths"][x][item])
-                            for x in ("question", "answer")
-                        )
-                        if min(asked, answered) >= overlap and (d, item) not in seen:
-                            seen.add((d, item))
-                            rows.append((ids[a + d].as_py(), index["ids"][item], score, asked, answered))
-            if rows:
+            found = list(finder.search(batch.column(1)))
+            if found:
+                rows, items, *figures = zip(*found)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()))],
+                    [batch.column(0).take(pa.array(rows)), pa.array([shared.value["ids"][i] for i in items], pa.int64()),
+                     *(pa.array(x, pa.float64()) for x in figures)],
                     ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"],
                 )
 
     return run
 
 
+def _clean_batches(shared, threshold: float, overlap: float, at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Finder(shared.value, threshold, overlap)
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            keep[[row for row, *_ in finder.search(batch.column(at))]] = False
+            yield batch.filter(pa.array(keep))
+
+    return run
+
+
+def indexes(items: DataFrame, shard: int = SHARD) -> Iterator[dict]:
+    """An index of each shard of the items; one for a benchmark of at most ``shard`` items."""
+    tests = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    shards = max(1, -(-tests.count() // shard))
+    for i in range(shards):
+        own = tests.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == i).orderBy("item_id", "text").collect()
+        index = build_index([r["item_id"] for r in own], [r["text"] for r in own])
+        if index["ids"]:
+            yield index
+
+
+def without_items(
+    docs: DataFrame, items: DataFrame, text: str = "text", threshold: float = 0.5, overlap: float = 0.8, shard: int = SHARD,
+) -> DataFrame:
+    """``docs`` without the rows in which an item is found, in place: nothing is shuffled or joined."""
+    out = docs
+    for index in indexes(items, shard):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+        out = out.mapInArrow(_clean_batches(shared, threshold, overlap, docs.columns.index(text)), docs.schema)
+    return out
+
+
 def find_items(
     docs: DataFrame, items: DataFrame, text: str = "text", threshold: float = 0.5, overlap: float = 0.8, shard: int = SHARD,
 ) -> DataFrame:
@@ -197,14 +246,10 @@ def find_items(
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    tests = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    shards = max(1, -(-tests.count() // shard))
-    parts = []
-    for i in range(shards):
-        own = tests.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == i).orderBy("item_id", "text").collect()
-        index = build_index([r["item_id"] for r in own], [r["text"] for r in own])
-        if index["ids"]:
-            parts.append(rows.mapInArrow(_find_batches(spark.sparkContext.broadcast(index), threshold, overlap), FOUND))
+    parts = [
+        rows.mapInArrow(_find_batches(spark.sparkContext.broadcast(index), threshold, overlap), FOUND)
+        for index in indexes(items, shard)
+    ]
     if not parts:
         return spark.createDataFrame([], FOUND)
     found = parts[0]

@@ -277,9 +277,6 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows of a component other than one row of its smallest id.
-
-    Rows that share a doc_id are copies of one document; one of them stays. Rows without a doc_id stay.
-    """
+    """``docs`` with only the smallest id of each component; rows without an id stay."""
     dropped = found.filter("id <> component_id").select(F.col("id").alias(key)).distinct()
     return docs.join(dropped, key, "left_anti")
