@@ -165,6 +165,13 @@ def findings(versions: DataFrame, ledger: str, text: str = "text", rules: tuple[
     ).select(kept["*"], F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))
 
 
+def without_findings(versions: DataFrame, ledger: str, text: str = "text") -> DataFrame:
+    """The rows of ``versions`` whose blob has no finding in the ledger."""
+    found = read_ledger(versions.sparkSession, ledger).filter(F.size("spans") > 0).select(F.col("blob_id").alias("__blob")).distinct()
+    addressed = versions.withColumn("__blob", blob_id(versions[text].cast("string")))
+    return addressed.join(found, "__blob", "left_anti").select(*[addressed[c] for c in versions.columns])
+
+
 def joined(spans: Column) -> Column:
     """kind:start:end of each span, comma-joined."""
     return F.array_join(
