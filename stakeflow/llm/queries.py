@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stakeflow.llm import decontaminate, exact_topk, language_id, mixture, near_dups, secret_ledger
+from stakeflow.llm import decontaminate, exact_topk, language_id, lm_scoring, mixture, near_dups, secret_ledger
 from stakeflow.llm.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,14 @@ def _secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_ledger.digest(secret_ledger.findings(docs, ledger))
 
 
+# --- 3: language-model scores --------------------------------------------------------
+
+@query("op3_lattice_lm")
+def _lm(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = language_id.held_out(F.col("doc_id"), 10, 0)
+    return lm_scoring.score(table(spark, folder, "documents"), ~held_out).withColumn("held_out", held_out)
+
+
 # --- 4: near duplicates ----------------------------------------------------------
 
 def words_sql(column: str = "text") -> str:
