@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stakeflow.llm import decontaminate, exact_topk, language_id, lm_scoring, mixture, near_dups, secret_ledger
+from stakeflow.llm import (
+    decontaminate, exact_topk, language_id, lm_scoring, mixture, near_dups, quality_pu, secret_ledger, token_rollup,
+)
 from stakeflow.llm.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,6 +138,23 @@ FROM shingled s JOIN low ON low.id = s.doc_id
 ))
 
 
+# --- 6: token counts -------------------------------------------------------------------
+
+@query("op6_token_rollup")
+def _rollup(spark: SparkSession, folder: str) -> DataFrame:
+    rollup = scratch_path(spark, "rollup")
+    counted = token_rollup.count_tokens(table(spark, folder, "documents"), [token_rollup.read_tokenizer("byte_bpe_50k")])
+    token_rollup.commit(token_rollup.insertions(counted), rollup, "documents")
+    return token_rollup.totals(spark, rollup)
+
+
+# --- 7: quality ---------------------------------------------------------------------------
+
+query("op7_quality_pu")(lambda spark, folder: quality_pu.digest(quality_pu.score(
+    table(spark, folder, "documents"), table(spark, folder, "labels"), ~language_id.held_out(F.col("doc_id"), 3, 1)
+)))
+
+
 # --- 8: benchmark decontamination ----------------------------------------------------
 
 query("op8_bm25_decontamination")(lambda spark, folder: decontaminate.find_items(
