@@ -30,7 +30,7 @@ from stakeflow.llm.wordhash import mix, slices, split
 
 SAMPLE = 8000  # documents of each kind that are fitted on
 BINS = 24
-STEPS = 400
+STEPS = 1500
 # The classes of bytes whose shares are features.
 CLASSES = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b".!?", b",;:", b"\"'()-", b"*#$%&@^~_=+<>|\\/{}[]`", b"\n", bytes(range(128, 256)))
 
@@ -91,7 +91,7 @@ class Model(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(total, -500, 500)))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS, l2: float = 1e-3) -> Model:
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS, l2: float = 1e-4) -> Model:
     """Minimise the non-negative unbiased risk with logistic loss, by Adam over all rows."""
     both = np.concatenate([positive, unlabelled])
     edges = np.stack([np.quantile(both[:, f], np.arange(1, BINS) / BINS) for f in range(both.shape[1])])

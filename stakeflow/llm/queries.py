@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stakeflow.llm import (
-    decontaminate, exact_topk, language_id, lm_scoring, mixture, near_dups, quality_pu, secret_ledger, token_rollup,
+    decontaminate, exact_topk, language_id, lm_scoring, mixture, near_dups, passage_dups, quality_pu, secret_ledger, token_rollup,
 )
 from stakeflow.llm.scratch import scratch_path
 
@@ -138,6 +138,11 @@ FROM shingled s JOIN low ON low.id = s.doc_id
 ))
 
 
+# --- 5: repeated passages ------------------------------------------------------------------
+
+query("op5_passage_dedup")(lambda spark, folder: passage_dups.repeated_passages(table(spark, folder, "documents")))
+
+
 # --- 6: token counts -------------------------------------------------------------------
 
 @query("op6_token_rollup")
