@@ -120,13 +120,12 @@ def rolling_mean_rows(
 ) -> DataFrame:
     """Mean of the current and the n-1 preceding rows, for each ``{output: n}``.
 
-    Rows are numbered with a prefix count, cut into blocks of ``block`` rows, and
-    each block also receives the rows just before it. A long series is therefore
-    averaged by many tasks.
+    Rows are numbered with a prefix count, cut into blocks of ``block`` rows, or of the
+    widest frame if that is longer, and each block also receives the rows just before
+    it. A long series is therefore averaged by many tasks.
     """
     reach = max(sizes.values()) - 1
-    if reach >= block:
-        raise ValueError("block must be larger than the widest frame")
+    block = max(block, reach + 1)
     numbered = prefix_sums(
         df.withColumn("_one", F.lit(1).cast("bigint")), keys, order, {"_row": "_one"}, tie, width
     )

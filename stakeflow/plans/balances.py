@@ -13,6 +13,10 @@ from stakeflow.plans.snapshots import with_close_price
 from stakeflow.plans.validators import enrich
 
 PAIR = ["validator_id", "delegator_address"]
+SHOWN = (
+    "active_balance <> 0 OR pending_withdrawal_balance <> 0 "
+    "OR daily_active_change <> 0 OR daily_pending_change <> 0"
+)
 
 
 def ez_net_stake_changes(
@@ -143,12 +147,14 @@ def daily_stake_changes(
 def ez_staking_balances_daily(
     delegations: DataFrame, undelegations: DataFrame, withdrawals: DataFrame,
     validators: DataFrame | None = None, *, as_of: dt.date,
-    previous: DataFrame | None = None, since: dt.date | None = None,
+    previous: DataFrame | None = None, since: dt.date | None = None, keep_raw: bool = False,
 ) -> DataFrame:
     """Active and pending balance of every pair on every day it is not all zero.
 
-    With ``previous`` (published balances) and ``since``, only days after ``since``
-    are worked out, starting from the balances held on that day.
+    With ``previous`` (made with ``keep_raw``) and ``since``, only days after ``since``
+    are worked out, starting from the exact running sums of that day. ``keep_raw`` adds those sums
+    as ``active_raw`` and ``pending_raw`` and keeps days on which a sum, but no published balance, is
+    left; ``published`` takes both away again.
 
     Balances are summed over days with a change and then held until the next one,
     so days without a change cost neither a shuffle nor a window row.
@@ -159,8 +165,8 @@ def ez_staking_balances_daily(
     if previous is not None:
         held = previous.filter(F.col("balance_date") == F.lit(since)).select(
             *PAIR, "balance_date",
-            _to_raw("active_balance").alias("active_raw"),
-            _to_raw("pending_withdrawal_balance").alias("pending_raw"),
+            F.col("active_raw").cast(RAW).alias("active_raw"),
+            F.col("pending_raw").cast(RAW).alias("pending_raw"),
             F.lit(True).alias("is_seed"),
         )
         changes = changes.unionByName(held)
@@ -172,33 +178,36 @@ def ez_staking_balances_daily(
     )
     balances = changes.select(
         *PAIR, "balance_date", "is_seed",
-        clamped_tokens(F.sum("active_raw").over(running)).alias("active_balance"),
-        clamped_tokens(F.sum("pending_raw").over(running)).alias("pending_withdrawal_balance"),
+        F.sum("active_raw").over(running).cast(RAW).alias("active_sum"),
+        F.sum("pending_raw").over(running).cast(RAW).alias("pending_sum"),
         tokens("active_raw").alias("daily_active_change"),
         tokens("pending_raw").alias("daily_pending_change"),
-    )
+    ).withColumns({
+        "active_balance": clamped_tokens(F.col("active_sum")),
+        "pending_withdrawal_balance": clamped_tokens(F.col("pending_sum")),
+    })
     nothing = (F.col("active_balance") == 0) & (F.col("pending_withdrawal_balance") == 0)
+    if keep_raw:
+        nothing = (F.col("active_sum") == 0) & (F.col("pending_sum") == 0)
     daily = hold_until_next(
         balances, PAIR, "balance_date", as_of,
         changes=["daily_active_change", "daily_pending_change"], drop_when=nothing,
     ).filter(~(F.col("is_seed") & ~F.col("is_repeated")))
-    kept = daily.filter(
-        (F.col("active_balance") != 0) | (F.col("pending_withdrawal_balance") != 0)
-        | (F.col("daily_active_change") != 0) | (F.col("daily_pending_change") != 0)
-    )
+    kept = daily if keep_raw else daily.filter(SHOWN)
+    sums = [F.col("active_sum").alias("active_raw"), F.col("pending_sum").alias("pending_raw")] if keep_raw else []
     out = kept.select(
         "balance_date", *PAIR, "active_balance", "pending_withdrawal_balance",
         (F.col("active_balance") + F.col("pending_withdrawal_balance"))
         .alias("total_balance_at_risk"),
         "daily_active_change", "daily_pending_change",
-        surrogate_key("balance_date", *PAIR).alias("ez_staking_balances_daily_id"),
+        surrogate_key("balance_date", *PAIR).alias("ez_staking_balances_daily_id"), *sums,
     )
     return enrich(out, validators)
 
 
-def _to_raw(balance: str):
-    micros = F.round(F.col(balance).cast("decimal(38,6)") * 1_000_000)
-    return (micros.cast("decimal(26,0)") * F.lit(10**12).cast("decimal(13,0)")).cast(RAW)
+def published(stored: DataFrame) -> DataFrame:
+    """The rows and columns of a stored balance table that readers see."""
+    return stored.filter(SHOWN).drop("active_raw", "pending_raw")
 
 
 def ez_validator_totals_daily(

@@ -166,14 +166,17 @@ def fact_block_priority_fees(
 
 
 def fact_block_priority_fees_increment(
-    transactions: DataFrame, blocks: DataFrame, rewards: DataFrame, since: dt.datetime
+    transactions: DataFrame, blocks: DataFrame, rewards: DataFrame, since: dt.datetime,
+    new_rewards: DataFrame | None = None,
 ) -> DataFrame:
-    """Whole recomputed rows for every block with a transaction newer than ``since``.
+    """Whole recomputed rows for every block with a transaction newer than ``since`` or a new reward.
 
     The touched block range enters as literals and prunes the three scans.
     """
     mark = F.lit(since.isoformat(sep=" ")).cast("timestamp_ntz")
     touched = transactions.filter(F.col("modified_timestamp") > mark).select("block_number")
+    if new_rewards is not None:
+        touched = touched.unionByName(producer_rewards(new_rewards).select("block_number"))
     low, high = touched.agg(F.min("block_number"), F.max("block_number")).first()
     within = F.col("block_number").between(F.lit(low), F.lit(high))
     again = transactions.filter(within).join(touched.distinct(), "block_number", "left_semi")

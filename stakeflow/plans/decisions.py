@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from stakeflow.functions.keys import surrogate_key
-from stakeflow.functions.numeric import exact_avg, exact_sum, ratio, tokens
+from stakeflow.functions.numeric import EXACT, exact_avg, exact_sum, ratio, tokens
 from stakeflow.functions.times import as_timestamp, days_between, ntz
 from stakeflow.plans.blocks import latest_price
 from stakeflow.plans.earnings import own_claims
@@ -17,6 +17,7 @@ from stakeflow.plans.validators import enrich
 RESTARTS = {5: "5min", 15: "15min", 30: "30min", 60: "1hr"}
 SELL = "Consider selling - price up 20%+ from 30d avg"
 COMPOUND = "Consider compounding - price down 20%+ from 30d avg"
+PRICE = "decimal(19,9)"  # its square fits EXACT
 PARTIAL = "High volatility - consider partial claim"
 CLAIM = "Large balance accumulated - consider claiming"
 NEUTRAL = "Neutral - compound or hold based on cash needs"
@@ -94,8 +95,16 @@ def price_trend(prices: DataFrame, as_of: dt.date | dt.datetime) -> DataFrame:
         exact_avg(within(30)).alias("price_30d_avg"),
         F.min(within(30)).alias("price_30d_low"),
         F.max(within(30)).alias("price_30d_high"),
-        F.stddev_samp(within(30)).alias("price_volatility_30d"),
-    )
+        F.count(within(30)).alias("_n"),
+        F.sum(within(30).cast(PRICE)).cast("double").alias("_sum"),
+        F.sum((within(30).cast(PRICE) * within(30).cast(PRICE)).cast(EXACT)).cast("double").alias("_squares"),
+    ).withColumn(
+        # From exact sums, so that it does not depend on the order of rows.
+        "price_volatility_30d",
+        F.when(F.col("_n") > 1, F.sqrt(F.greatest(
+            F.lit(0.0), F.col("_squares") - F.col("_sum") * F.col("_sum") / F.col("_n")
+        ) / (F.col("_n") - 1))),
+    ).drop("_n", "_sum", "_squares")
 
 
 def ez_compound_decision(

@@ -12,55 +12,96 @@ from __future__ import annotations
 
 import datetime as dt
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stakeflow.operators import latest_per_key
 from stakeflow.plans import balances, blocks
 from stakeflow.plans.events import FACTS, fact
 from stakeflow.sources.increments import BEGINNING, high_watermark, since_watermark, window_start
 from stakeflow.sources.sinks import read_target, replace_partitions, swap_in, upsert_replace
 
 MARK = "source_modified_timestamp"
+REWARD_MARK = "reward_source_timestamp"
 
 
 def refresh_event_fact(spark: SparkSession, logs: DataFrame, path: str, name: str) -> None:
     """One event fact: rows newer than the watermark, upserted by key, one folder per day."""
-    marked = logs.withColumn(MARK, F.col("modified_timestamp"))
-    fresh = since_watermark(marked, read_target(spark, path), MARK)
-    batch = fact(fresh, name, keep=[MARK]).withColumn("block_date", F.to_date("block_timestamp"))
-    upsert_replace(spark, path, batch, FACTS[name][1], "block_date", ["block_number"])
+    fresh = since_watermark(with_mark(logs), read_target(spark, path), MARK)
+    store_event_fact(spark, fact(fresh, name, keep=[MARK]), path, name)
+
+
+def with_mark(logs: DataFrame) -> DataFrame:
+    return logs.withColumn(MARK, F.col("modified_timestamp"))
+
+
+def store_event_fact(spark: SparkSession, rows: DataFrame, path: str, name: str) -> None:
+    """The one writer of event facts, for batches and streams: the latest version of each key is upserted.
+
+    An event that has moved to another day leaves its old one.
+    """
+    key = FACTS[name][1]
+    batch = latest_per_key(rows, [key], MARK).withColumn("block_date", F.to_date("block_timestamp"))
+    upsert_replace(spark, path, batch, key, "block_date", ["block_number"])
 
 
 def refresh_block_fees(
     spark: SparkSession, transactions: DataFrame, chain_blocks: DataFrame, rewards: DataFrame,
     path: str,
 ) -> None:
-    """Priority fees: blocks with new transactions are recomputed as a whole."""
+    """Priority fees: blocks with new transactions or new producer rewards are recomputed as a whole.
+
+    Rewards are noticed by the mark column of a stored reward fact; each source has a mark of its own.
+    """
     target = read_target(spark, path)
     mark = high_watermark(target, MARK, BEGINNING)
-    newest = high_watermark(transactions, "modified_timestamp", BEGINNING)
-    if newest <= mark:
+    by_reward = MARK in rewards.columns
+    reward_mark = BEGINNING
+    if target is not None and REWARD_MARK in target.columns:
+        reward_mark = high_watermark(target, REWARD_MARK, BEGINNING)
+    newest = high_watermark(_after(transactions, "modified_timestamp", mark), "modified_timestamp", mark)
+    newest_reward = high_watermark(_after(rewards, MARK, reward_mark), MARK, reward_mark) if by_reward else reward_mark
+    if newest <= mark and newest_reward <= reward_mark:
         return
     fees = (
         blocks.fact_block_priority_fees(transactions, chain_blocks, rewards)
         if target is None
-        else blocks.fact_block_priority_fees_increment(transactions, chain_blocks, rewards, mark)
+        else blocks.fact_block_priority_fees_increment(
+            transactions, chain_blocks, rewards, mark,
+            _after(rewards, MARK, reward_mark) if by_reward else None,
+        )
     )
+    stamps = {MARK: newest} | ({REWARD_MARK: newest_reward} if by_reward else {})
     batch = fees.withColumns({
         "block_date": F.to_date("block_timestamp"),
-        MARK: F.lit(newest.isoformat(sep=" ")).cast("timestamp_ntz"),
+        **{name: F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz") for name, at in stamps.items()},
     })
     upsert_replace(
         spark, path, batch, "fact_block_priority_fees_id", "block_date", ["block_number"]
     )
 
 
-def refresh_snapshots(spark: SparkSession, snapshots: DataFrame, path: str) -> None:
-    """Snapshot facts: days the target does not hold yet."""
+def _after(df: DataFrame, col: str, mark: dt.datetime) -> DataFrame:
+    return df.filter(F.col(col) > F.lit(mark.isoformat(sep=" ")).cast("timestamp_ntz"))
+
+
+def refresh_snapshots(
+    spark: SparkSession, snapshots: DataFrame, path: str, keys: Sequence[str] = ("snapshot_date", "validator_id"),
+) -> None:
+    """Snapshot facts, upserted by key.
+
+    Rows with a mark column are taken when the source stamped them after the last load, however
+    old their day is. Without one, rows whose key the target does not hold are taken.
+    """
     target = read_target(spark, path)
-    batch = snapshots
-    if target is not None:
-        batch = batch.join(target.select("snapshot_date").distinct(), "snapshot_date", "left_anti")
-    replace_partitions(spark, path, batch, "snapshot_date", ["validator_id"])
+    if MARK in snapshots.columns:
+        batch = latest_per_key(since_watermark(snapshots, target, MARK), list(keys), MARK)
+    elif target is not None:
+        batch = snapshots.join(target.select(*keys), list(keys), "left_anti")
+    else:
+        batch = snapshots
+    upsert_replace(spark, path, batch, list(keys), "snapshot_date", ["validator_id"], moves=False)
 
 
 def refresh_miner_ranges(
@@ -91,12 +132,15 @@ def refresh_stake_balances(
     spark: SparkSession, delegations: DataFrame, undelegations: DataFrame,
     withdrawals: DataFrame, path: str, *, as_of: dt.date, days: int = 3,
 ) -> None:
-    """Stake balances: the last ``days`` published days and everything after them."""
+    """Stake balances: the last ``days`` stored days and everything after them.
+
+    The table keeps the exact running sums; ``balances.published`` is what readers see.
+    """
     target = read_target(spark, path)
     since = window_start(target, "balance_date", days) if target is not None else None
     batch = balances.ez_staking_balances_daily(
         delegations, undelegations, withdrawals, as_of=as_of, since=since,
-        previous=target if since else None,
+        previous=target if since else None, keep_raw=True,
     )
     covered = _days(since + dt.timedelta(days=1), as_of) if since else ()
     replace_partitions(spark, path, batch, "balance_date", ["validator_id"], covered=covered)
@@ -124,13 +168,15 @@ def refresh_epoch_performance(
     """Epoch performance: the last ``back`` published epochs and everything after them."""
     target = read_target(spark, path)
     since = window_start(target, "epoch", back) if target is not None else None
+    covered: Sequence[int] = ()
     if since is not None:
+        covered = range(since + 1, since + back + 1)
         recent = F.col("epoch") > F.lit(since)
         validator_set, production = validator_set.filter(recent), production.filter(recent)
     batch = blocks.ez_validator_epoch_performance(
         validator_set, created, epochs, snapshots, production
     )
-    replace_partitions(spark, path, batch, "epoch", ["validator_id"])
+    replace_partitions(spark, path, batch, "epoch", ["validator_id"], covered=covered)
 
 
 def refresh_validators(spark: SparkSession, validators: DataFrame, path: str) -> None:

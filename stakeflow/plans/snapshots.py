@@ -38,12 +38,12 @@ def pending_days(max_blocks: DataFrame) -> DataFrame:
     )
 
 
-def each_with(df: DataFrame, few: DataFrame, limit: int) -> DataFrame:
-    """Every row of ``df`` with each of at most ``limit`` rows of ``few``.
+def each_with(df: DataFrame, few: DataFrame) -> DataFrame:
+    """Every row of ``df`` with each row of ``few``, which holds one row per calendar day.
 
-    The few rows travel as one array value read by a scalar subquery.
+    The days travel as one array value read by a scalar subquery: a few kilobytes even for years.
     """
-    packed = few.limit(limit).agg(F.collect_list(F.struct(*few.columns)))
+    packed = few.agg(F.collect_list(F.struct(*few.columns)))
     return df.withColumn("_few", F.explode(packed.scalar())).select(*df.columns, "_few.*")
 
 
@@ -56,9 +56,9 @@ def _rpc_body(calldata: Column, block: Column, call_id: Column) -> Column:
     )
 
 
-def validator_requests(created: DataFrame, days: DataFrame, max_days: int = 3) -> DataFrame:
-    """One state call per validator and pending day."""
-    asked = each_with(created.select("validator_id").distinct(), days, max_days)
+def validator_requests(created: DataFrame, days: DataFrame) -> DataFrame:
+    """One state call per validator and pending day, for all days given."""
+    asked = each_with(created.select("validator_id").distinct(), days)
     calldata = F.concat(F.lit(GET_VALIDATOR), hx.int_word(F.col("validator_id")))
     call_id = F.concat_ws("-", F.lit("getValidator"), "validator_id", "snapshot_date")
     return asked.withColumns({
@@ -68,10 +68,10 @@ def validator_requests(created: DataFrame, days: DataFrame, max_days: int = 3) -
     })
 
 
-def delegator_requests(created: DataFrame, days: DataFrame, max_days: int = 3) -> DataFrame:
-    """One self-delegation call per validator and pending day."""
+def delegator_requests(created: DataFrame, days: DataFrame) -> DataFrame:
+    """One self-delegation call per validator and pending day, for all days given."""
     pairs = created.select("validator_id", "auth_address").distinct()
-    asked = each_with(pairs, days, max_days)
+    asked = each_with(pairs, days)
     calldata = F.concat(
         F.lit(GET_DELEGATOR), hx.int_word(F.col("validator_id")),
         hx.address_word(F.col("auth_address")),
@@ -85,10 +85,37 @@ def delegator_requests(created: DataFrame, days: DataFrame, max_days: int = 3) -
 
 
 def set_requests(epochs: DataFrame, offsets: tuple[int, ...] = PAGE_OFFSETS) -> DataFrame:
-    """Paged validator-set calls: every pending epoch with every page offset."""
-    pages = epochs.select("epoch", "epoch_start_block").withColumn(
+    """The first wave of paged validator-set calls: every pending epoch with every page offset.
+
+    Sets that go on after the last of these pages are continued by ``next_set_requests``.
+    """
+    return _set_calls(epochs.select("epoch", "epoch_start_block").withColumn(
         "start_index", F.explode(F.array(*[F.lit(o).cast("bigint") for o in offsets]))
+    ))
+
+
+def set_pages(responses: DataFrame) -> DataFrame:
+    """How far each epoch's set has been read: (epoch, epoch_start_block, is_done, next_index).
+
+    A page says whether it is the last one and where the next begins. An epoch is done when any of its
+    pages is the last one; ``next_index`` is where reading goes on.
+    """
+    said = responses.withColumn("words", hx.words(response_payload(F.col("response"))))
+    return said.groupBy("epoch").agg(
+        F.max("epoch_start_block").alias("epoch_start_block"),
+        F.coalesce(F.max(number(0) != 0), F.lit(False)).alias("is_done"),
+        F.coalesce(F.max(number(1)).cast("bigint"), F.lit(0)).alias("next_index"),
     )
+
+
+def next_set_requests(responses: DataFrame) -> DataFrame:
+    """The next page of every set that no response has finished; run until it is empty."""
+    return _set_calls(set_pages(responses).filter("NOT is_done").select(
+        "epoch", "epoch_start_block", F.col("next_index").alias("start_index")
+    ))
+
+
+def _set_calls(pages: DataFrame) -> DataFrame:
     calldata = F.concat(F.lit(GET_VALIDATOR_SET), hx.int_word(F.col("start_index")))
     call_id = F.concat_ws("-", F.lit("getSnapshotValidatorSet"), "epoch", "start_index")
     return pages.withColumns({

@@ -8,6 +8,7 @@ from stakeflow.functions.keys import surrogate_key
 from stakeflow.functions.numeric import tokens
 from stakeflow.operators import latest_per_key
 
+SMALL = 20_000  # validators; three short columns each, about 2 MB
 SEED_COLUMNS = [
     "website", "image", "city", "region", "country", "timezone", "latitude", "longitude",
     "ip_address",
@@ -65,15 +66,31 @@ def dim_validators(
     )
 
 
+def _resolved(validators: DataFrame) -> DataFrame:
+    """(validator_id, validator_name, consensus_address), as local rows if they are few.
+
+    The answer is kept with the frame it comes from, so tables enriched from one dimension share it.
+    """
+    found = getattr(validators, "_resolved_names", None)
+    if found is None:
+        found = validators.select("validator_id", "validator_name", "consensus_address")
+        rows = found.limit(SMALL + 1).collect()
+        if len(rows) <= SMALL:
+            found = validators.sparkSession.createDataFrame(rows, found.schema)
+        validators._resolved_names = found
+    return found
+
+
 def enrich(df: DataFrame, validators: DataFrame | None) -> DataFrame:
     """Adds validator_name and consensus_address after validator_id.
 
-    No broadcast is forced: the planner broadcasts the dimension when its
-    measured size is under the session's threshold.
+    A dimension of at most ``SMALL`` validators is resolved first, so that the planner knows its
+    size and broadcasts it; then the facts, hot validators and all, are not shuffled for two names.
+    A larger one is joined as it is.
     """
     if validators is None:
         return df
-    names = validators.select("validator_id", "validator_name", "consensus_address")
+    names = _resolved(validators)
     at = df.columns.index("validator_id") + 1
     order = [*df.columns[:at], "validator_name", "consensus_address", *df.columns[at:]]
     return df.join(names, "validator_id", "left").select(*order)

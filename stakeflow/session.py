@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import SparkSession
@@ -42,9 +42,28 @@ def local_session(app: str = "stakeflow", cores: str = "8", memory: str = "8g")
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the folder the cluster shares (``spark.checkpoint.dir``).
+    """A fresh path in a folder the cluster shares: ``spark.checkpoint.dir``, or else the warehouse.
 
-    A machine-local folder is used only where the setting is absent, as in tests.
+    What is written there is removed when the application ends. Without either setting there is no
+    folder that all executors see, and an error is raised.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stakeflow-")
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
+    if not root:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    if not _MADE:
+        atexit.register(_remove)
+    _MADE.append((spark, path))
+    return path
+
+
+_MADE: list[tuple[SparkSession, str]] = []
+
+
+def _remove() -> None:
+    while _MADE:
+        spark, path = _MADE.pop()
+        context = getattr(spark, "sparkContext", None)
+        if context is not None and context._jsc is not None and not context._jsc.sc().isStopped():
+            target = context._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)

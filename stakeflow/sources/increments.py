@@ -41,11 +41,11 @@ def missing_periods(
     src: DataFrame,
     target: DataFrame | None,
     col: str,
-    n: int,
+    n: int | None = None,
     earliest=None,
     before=None,
 ) -> DataFrame:
-    """The ``n`` oldest rows of ``src`` whose period the target does not hold yet."""
+    """Rows of ``src`` in periods that the target does not hold yet: all, or those of the ``n`` oldest periods."""
     periods = src
     if earliest is not None:
         periods = periods.filter(F.col(col) >= F.lit(earliest))
@@ -53,7 +53,10 @@ def missing_periods(
         periods = periods.filter(F.col(col) < F.lit(before))
     if target is not None:
         periods = periods.join(target.select(col).distinct(), col, "left_anti")
-    return periods.orderBy(col).limit(n)
+    if n is None:
+        return periods
+    oldest = periods.select(col).distinct().orderBy(col).limit(n)
+    return periods.join(oldest, col, "left_semi")
 
 
 def window_start(target: DataFrame, col: str, back: int):

@@ -188,10 +188,17 @@ class SampleChain:
             F.when(number % 10 == 9, OTHER_SELECTOR).otherwise(REWARD_SELECTOR),
         )
 
+    @cached_property
+    def _first_blocks(self) -> DataFrame:
+        """The first block of each epoch, whichever it is."""
+        return self.table("orders").groupBy(F.floor(F.col("o_orderkey") / BLOCKS_PER_EPOCH).alias("_epoch")).agg(
+            F.min("o_orderkey").alias("o_orderkey")
+        ).drop("_epoch")
+
     @cached_property
     def _epoch_logs(self) -> DataFrame:
         number = F.col("o_orderkey")
-        firsts = self.table("orders").select("o_orderkey").filter(number % BLOCKS_PER_EPOCH == 0)
+        firsts = self._first_blocks
         epoch = F.floor(number / BLOCKS_PER_EPOCH)
         body = F.to_json(F.struct((epoch - 1).alias("oldEpoch"), epoch.alias("newEpoch")))
         return self._log(
@@ -237,7 +244,7 @@ class SampleChain:
 
     @cached_property
     def native_balances(self) -> DataFrame:
-        own = self.events.filter((F.col("event_type") == "view") & (F.col("user_id") < VALIDATORS))
+        own = self.events.filter(F.col("event_type") == "view")
         df = own.groupBy(
             F.col("day").alias("block_date"), F.upper("wallet").alias("address")
         ).agg(F.max("value").alias("balance"), F.max("cents").alias("_c"))
@@ -373,9 +380,7 @@ class SampleChain:
     def set_responses(self) -> DataFrame:
         """Three pages per epoch; the last one has no result."""
         number = F.col("o_orderkey")
-        epochs = self.table("orders").select("o_orderkey").filter(
-            number % BLOCKS_PER_EPOCH == 0
-        ).select(F.floor(number / BLOCKS_PER_EPOCH).alias("epoch"), number.alias("epoch_start_block"))
+        epochs = self._first_blocks.select(F.floor(number / BLOCKS_PER_EPOCH).alias("epoch"), number.alias("epoch_start_block"))
         members = F.filter(
             F.sequence(F.lit(0).cast("bigint"), F.lit(VALIDATORS - 1).cast("bigint")),
             lambda v: (F.col("epoch") + v) % 5 != 0,

@@ -138,11 +138,11 @@ def write_clustered(
     _keep_schema(df, path)
 
 
-def swap_in(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> None:
+def swap_in(df: DataFrame, path: str, cluster_by: Sequence[str] = (), partition: str | None = None) -> None:
     """Write next to ``path`` and rename over it; readers never see a partial table."""
     spark = df.sparkSession
     staged = f"{path.rstrip('/')}__staged_{uuid.uuid4().hex}"
-    write_clustered(df, staged, cluster_by=cluster_by)
+    write_clustered(df, staged, partition, cluster_by)
     fs, live = _fs(spark, path)
     _, fresh = _fs(spark, staged)
     if fs.exists(live):
@@ -158,21 +158,28 @@ def swap_in(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> None:
     spark.catalog.refreshByPath(path)
 
 
-def _touched(target: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
-    # Partition values of one batch (days or epochs), not rows.
-    values = [r[0] for r in batch.select(partition).distinct().collect()]
-    return target.filter(F.col(partition).isin(values))
+def _values(df: DataFrame, partition: str) -> list:
+    # Partition values (days or epochs), not rows.
+    return [r[0] for r in df.select(partition).distinct().collect()]
+
+
+def _drop_partitions(spark: SparkSession, path: str, partition: str, values) -> None:
+    for value in values:
+        fs, p = _fs(spark, f"{path.rstrip('/')}/{partition}={value}")
+        if fs.exists(p):
+            fs.delete(p, True)
 
 
 def upsert_replace(
     spark: SparkSession, path: str, batch: DataFrame, key: str | Sequence[str],
-    partition: str | None = None, cluster_by: Sequence[str] = (), audit: bool = True,
+    partition: str | None = None, cluster_by: Sequence[str] = (), audit: bool = True, moves: bool = True,
 ) -> None:
-    """Delete+insert into a Parquet target, rewriting only the partitions in the batch.
+    """Delete+insert into a Parquet target, rewriting only the partitions concerned.
 
-    The partition column must be a function of the key (an event's day), or stale
-    rows of other partitions stay behind. The batch is written once to a staging
-    path first, so that its partitions and its rows come from the same evaluation.
+    Those are the batch's partitions and, as a key may have moved, the partitions that hold
+    one of its keys now; finding them reads the key column of the target. ``moves=False`` spares that
+    where the partition is part of the key. The batch is written once to a staging path first, so
+    that its partitions and its rows come from the same evaluation.
     """
     keys = [key] if isinstance(key, str) else list(key)
     target = read_target(spark, path)
@@ -181,12 +188,19 @@ def upsert_replace(
     staged = spark.read.parquet(staged_path)
     try:
         if target is None:
-            write_clustered(staged, path, partition, cluster_by)
+            swap_in(staged, path, cluster_by, partition)
         elif partition is None:
             swap_in(replace_rows(target, staged, keys), path, cluster_by)
         else:
-            slice_ = _touched(target, staged, partition)
-            write_clustered(replace_rows(slice_, staged, keys), path, partition, cluster_by)
+            values = _values(staged, partition)
+            if moves:
+                held = target.select(*keys, partition).join(staged.select(*keys).distinct(), keys, "left_semi")
+                values = sorted({*values, *_values(held, partition)}, key=str)
+            slice_ = target.filter(F.col(partition).isin(values))
+            rewritten = replace_rows(slice_, staged, keys)
+            emptied = set(values) - set(_values(rewritten, partition)) if moves else ()
+            write_clustered(rewritten, path, partition, cluster_by)
+            _drop_partitions(spark, path, partition, emptied)
         spark.catalog.refreshByPath(path)
     finally:
         fs, p = _fs(spark, staged_path)
@@ -211,11 +225,31 @@ def replace_partitions(
             staged = align_schema(target, staged)[1]
         write_clustered(staged, path, partition, cluster_by)
         if covered:
-            held = {str(r[0]) for r in staged.select(partition).distinct().collect()}
-            for value in covered:
-                fs, p = _fs(spark, f"{path.rstrip('/')}/{partition}={value}")
-                if str(value) not in held and fs.exists(p):
-                    fs.delete(p, True)
+            held = {str(v) for v in _values(staged, partition)}
+            _drop_partitions(spark, path, partition, [v for v in covered if str(v) not in held])
+        spark.catalog.refreshByPath(path)
+    finally:
+        fs, p = _fs(spark, staged_path)
+        fs.delete(p, True)
+
+
+def upsert_pruned(
+    spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], partition: str,
+    cluster_by: Sequence[str] = (),
+) -> None:
+    """Delete+insert within the batch's range of the partition column; keys outside the range are not seen.
+
+    Only the partitions inside the range are read and rewritten.
+    """
+    staged_path = f"{path.rstrip('/')}__batch_{uuid.uuid4().hex}"
+    with_audit(batch).write.parquet(staged_path)
+    try:
+        staged = spark.read.parquet(staged_path)
+        target = read_target(spark, path)
+        if target is None:
+            swap_in(staged, path, cluster_by, partition)
+        else:
+            write_clustered(pruned_replace_rows(target, staged, keys, partition), path, partition, cluster_by)
         spark.catalog.refreshByPath(path)
     finally:
         fs, p = _fs(spark, staged_path)

@@ -6,12 +6,12 @@ micro-batch is upserted by key, which makes a replayed batch harmless.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from stakeflow.plans.events import FACTS, fact
+from stakeflow.plans.events import fact
+from stakeflow.plans.refresh import MARK, store_event_fact, with_mark
 from stakeflow.sources.contracts import CONTRACTS
-from stakeflow.sources.sinks import upsert_replace
 
 
 def log_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -25,14 +25,12 @@ def log_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
 def start_fact(
     logs: DataFrame, target: str, name: str, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
-    """Upsert one event fact into ``target``, partitioned by day."""
-    key = FACTS[name][1]
+    """Upsert one event fact into ``target``, as the batch refresh does."""
 
     def write(batch: DataFrame, _: int) -> None:
-        rows = batch.withColumn("block_date", F.to_date("block_timestamp")).dropDuplicates([key])
-        upsert_replace(batch.sparkSession, target, rows, key, partition="block_date")
+        store_event_fact(batch.sparkSession, batch, target, name)
 
-    writer = fact(logs, name).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = fact(with_mark(logs), name, keep=[MARK]).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()

@@ -138,6 +138,8 @@ REL["status_changes"] = event_fact(
 REL["other_rewards"] = event_fact(
     "ValidatorRewarded", "fact_validator_rewards_id",
     f"wallet AS reward_source, {AMOUNT}, {EPOCH} AS epoch")
+# The first block of each epoch, whichever it is.
+FIRST_OF_EPOCH = "o_orderkey IN (SELECT MIN(o_orderkey) FROM orders GROUP BY o_orderkey // 500)"
 PRICE_CENTS = "CAST(round(o_totalprice * 100) AS BIGINT)"
 REL["block_rewards"] = order_log(
     "'block-' || CAST(o_orderkey AS VARCHAR)", "ValidatorRewarded",
@@ -151,7 +153,7 @@ REL["producers"] = f"""SELECT * FROM rewards WHERE origin_to_address = '{STAKING
 REL["epoch_changes"] = order_log(
     "'epoch-' || CAST(o_orderkey // 500 AS VARCHAR)", "EpochChanged", f"'{OTHER_SELECTOR}'",
     "o_orderkey // 500 - 1 AS old_epoch, o_orderkey // 500 AS new_epoch",
-    "fact_epoch_changes_id", "o_orderkey % 500 = 0")
+    "fact_epoch_changes_id", FIRST_OF_EPOCH)
 
 REL["chain_blocks"] = """SELECT o_orderkey AS block_number,
     '0xm' || CAST((o_orderkey // 700) % 3 AS VARCHAR) AS miner,
@@ -312,7 +314,7 @@ REL["validator_set"] = f"""SELECT epoch, epoch_start_block, v AS validator_id, p
     FROM (SELECT o_orderkey // 500 AS epoch, o_orderkey AS epoch_start_block, v,
       ROW_NUMBER() OVER (PARTITION BY o_orderkey ORDER BY v) AS pos
       FROM orders, range(0, 20) AS r(v)
-      WHERE o_orderkey % 500 = 0 AND (o_orderkey // 500 + v) % 5 <> 0) WHERE pos <= 20"""
+      WHERE {FIRST_OF_EPOCH} AND (o_orderkey // 500 + v) % 5 <> 0) WHERE pos <= 20"""
 REL["epoch_stakes"] = """SELECT s.epoch, s.validator_id, s.validator_position,
     c.auth_address AS validator_address, e.epoch_block_count, e.epoch_start_timestamp,
     e.epoch_end_timestamp, COALESCE(p.snapshot_stake, d.snapshot_stake, 0) AS validator_stake
@@ -448,7 +450,10 @@ REL["trend"] = f"""SELECT
     {xavg(f"CASE WHEN hour >= {NOW} - INTERVAL 1 DAY THEN price END")} AS price_1d_avg,
     {xavg(f"CASE WHEN hour >= {NOW} - INTERVAL 7 DAY THEN price END")} AS price_7d_avg,
     {xavg('price')} AS price_30d_avg, MIN(price) AS price_30d_low, MAX(price) AS price_30d_high,
-    stddev_samp(price) AS price_volatility_30d
+    CASE WHEN COUNT(price) > 1 THEN sqrt(GREATEST(0.0::DOUBLE,
+      CAST(SUM(CAST(CAST(price AS DECIMAL(19,9)) * CAST(price AS DECIMAL(19,9)) AS DECIMAL(38,18))) AS DOUBLE)
+      - CAST(SUM(CAST(price AS DECIMAL(19,9))) AS DOUBLE) * CAST(SUM(CAST(price AS DECIMAL(19,9))) AS DOUBLE) / COUNT(price)
+      ) / (COUNT(price) - 1)) END AS price_volatility_30d
     FROM price_hours WHERE hour >= {NOW} - INTERVAL 30 DAY"""
 REL["recent_claims"] = f"""SELECT validator_id, COUNT(*) AS n, {tok('SUM(amount_raw)')} AS claimed,
     MAX(block_timestamp) AS last_at FROM own_claims
@@ -457,7 +462,7 @@ DRIFT = "((s.mon_price_usd - p.price_30d_avg) / NULLIF(p.price_30d_avg, 0))"
 REL["compound"] = f"""SELECT s.validator_id, s.snapshot_date, s.unclaimed_rewards,
     s.unclaimed_rewards_usd, s.mon_price_usd AS current_price, p.price_1d_avg, p.price_7d_avg,
     p.price_30d_avg, p.price_30d_low, p.price_30d_high,
-    {rnd('p.price_volatility_30d', 6)} AS price_volatility_30d,
+    p.price_volatility_30d,
     {rnd('(s.mon_price_usd - p.price_7d_avg) / NULLIF(p.price_7d_avg, 0) * 100', 2)}
       AS price_change_7d_pct,
     {rnd(DRIFT + ' * 100', 2)} AS price_change_30d_pct,
@@ -583,7 +588,7 @@ REL["self_stake"] = f"""SELECT *,
 
 REL["wallet_days"] = f"""SELECT day AS d, upper(wallet) AS address, MAX(value) AS balance,
     {raw('MAX(cents)')} AS balance_raw FROM ev
-    WHERE event_type = 'view' AND user_id < 20 GROUP BY 1, 2"""
+    WHERE event_type = 'view' GROUP BY 1, 2"""
 REL["wallet_filled"] = """SELECT s.d AS balance_date, c.validator_id,
     lower(c.auth_address) AS validator_address, w.d IS NULL AS is_forward_filled,
     last_value(w.balance IGNORE NULLS) OVER f AS balance,
