@@ -26,10 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stakeflow.llm.wordhash import shingles, slices, split
+from stakeflow.llm.wordhash import runs, shingles, slices, split
 
 K1, B = 1.2, 0.75
-BLOCK = 16  # items
+BLOCK = 4  # items
 SHARD = 2048  # items of one index; a larger benchmark takes several passes over the documents
 LEAST_CELL = 32  # words
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
@@ -116,13 +116,11 @@ def wand(index: dict, terms: list[int], block: int, threshold: float) -> list[tu
     return found
 
 
-def covered(part: np.ndarray, words, first: int, last: int, k: int, inside: np.ndarray, length: int) -> float:
-    """Share of a part's shingles found among the words first:last; a part shorter than k words counts whole."""
+def covered(part: np.ndarray, length: int, passage: np.ndarray, k: int) -> float:
+    """Share of a part's k-word shingles found among the words of a passage; a shorter part counts as one."""
     if not length:
         return 1.0
-    if length < k:
-        inside, _ = shingles(words._replace(first=np.array([first, last])), length)
-    return float(np.isin(part, inside).mean())
+    return float(np.isin(part, runs(passage, min(k, length))).mean())
 
 
 class Finder:
@@ -149,7 +147,8 @@ class Finder:
         index, terms, ceiling, cell = self.index, len(self.index["terms"]), self.index["ceiling"], self.index["cell"]
         for a, b, data, offsets in slices(column):
             words = split(data, offsets)
-            term = self.term_of(words.hashes())
+            h = words.hashes()
+            term = self.term_of(h)
             known = np.flatnonzero(term >= 0)
             if not len(known):
                 continue
@@ -177,9 +176,8 @@ class Finder:
                 for item, score in wand(index, held, block, self.threshold):
                     if (d, item) in seen:
                         continue
-                    inside, _ = shingles(words._replace(first=np.array([first, last])), index["k"])
                     asked, answered = (
-                        covered(index[x][item], words, first, last, index["k"], inside, index["lengths"][x][item])
+                        covered(index[x][item], index["lengths"][x][item], h[first:last], index["k"])
                         for x in ("question", "answer")
                     )
                     if min(asked, answered) >= self.overlap:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from stakeflow.llm.components import components
 from stakeflow.llm.scratch import written
-from stakeflow.llm.wordhash import Words, mix, slices, split
+from stakeflow.llm.wordhash import Words, mix, runs, slices, split
 
 PARAGRAPH = 26
 SHINGLE = 5
@@ -36,15 +36,6 @@ BANDS, ROWS = 3, 2
 _SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
 
 
-def word_shingles(words: Words, k: int = SHINGLE) -> np.ndarray:
-    """A hash of the k words from each word on; those that cross into the next document are not to be used."""
-    h = words.hashes()
-    out = np.full(max(0, len(h) - k + 1), 0x51, np.uint64)
-    for j in range(k):
-        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + h[j:len(h) - k + 1 + j])
-    return out
-
-
 def paragraph_starts(words: Words, grams: np.ndarray, size: int = PARAGRAPH) -> np.ndarray:
     """Word indexes at which a paragraph starts: the least shingle of every ``size`` possible starts in a row."""
     count = np.maximum(0, np.diff(words.first) - size + 1)  # places where a whole paragraph fits
@@ -74,7 +65,7 @@ def _paragraph_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         ids = np.array(batch.column(0))
         for a, b, data, offsets in slices(batch.column(1)):
             words = split(data, offsets)
-            grams = word_shingles(words)
+            grams = runs(words.hashes(), SHINGLE)
             starts = paragraph_starts(words, grams)
             if not len(starts):
                 continue
@@ -102,7 +93,7 @@ def _shingle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     for batch in batches:
         for a, b, data, offsets in slices(batch.column(0)):
             words = split(data, offsets)
-            grams = word_shingles(words)
+            grams = runs(words.hashes(), SHINGLE)
             starts, exacts = (batch.column(i).slice(a, b - a).to_pylist() for i in (1, 2))
             at = np.concatenate([np.array(x, np.int64) + words.first[d] for d, x in enumerate(starts)])
             own = grams[at[:, None] + span].view(np.int64)

@@ -38,6 +38,18 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+_KEPT: dict[int, np.ndarray] = {}
+
+
+def _kept_powers(base: int, n: int) -> np.ndarray:
+    """``powers`` for slices, worked out once in a process for all but single long texts."""
+    if n > 2 * SLICE_BYTES:
+        return powers(base, n)
+    if base not in _KEPT:
+        _KEPT[base] = powers(base, 2 * SLICE_BYTES)
+    return _KEPT[base][:n]
+
+
 class Words(NamedTuple):
     """Words of one slice. ``doc`` numbers documents from 0 within the slice."""
 
@@ -52,9 +64,9 @@ class Words(NamedTuple):
         if not len(self.start):
             return np.zeros(0, np.uint64)
         n = len(self.data)
-        part = _LETTER[self.data] * powers(_BASE, n)
+        part = _LETTER[self.data] * _kept_powers(_BASE, n)
         total = np.add.reduceat(part, self.start)
-        return mix(total * powers(_INVERSE, n)[self.start] + (self.end - self.start).astype(np.uint64))
+        return mix(total * _kept_powers(_INVERSE, n)[self.start] + (self.end - self.start).astype(np.uint64))
 
     def text(self, i: int) -> bytes:
         return self.data[self.start[i]:self.end[i]].tobytes()
@@ -97,6 +109,14 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         a = b
 
 
+def runs(h: np.ndarray, k: int) -> np.ndarray:
+    """A hash of every k consecutive ones of ``h``."""
+    out = np.full(max(0, len(h) - k + 1), 0x51, np.uint64)
+    for j in range(k):
+        out = mix(out * np.uint64(_BASE) + h[j:j + len(out)])
+    return out
+
+
 def shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each k-word shingle in order, per document the index of its first one).
 
