@@ -41,7 +41,7 @@ def weighted_targets(sizes: dict[str | None, int], weights=(1, 2, 3), most: floa
         unit = left / sum(weight[s] for s in free)
         over = [s for s in names if s in free and weight[s] * unit > most * sizes[s]]
         for s in over or free:
-            target[s] = most * sizes[s] if over else weight[s] * unit
+            target[s] = float(most * sizes[s]) if over else weight[s] * unit
         left -= sum(target[s] for s in over)
         free -= set(over or free)
     return target
