@@ -89,18 +89,18 @@ class Lattice:
     def marginals(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, logp: np.ndarray) -> np.ndarray:
         """Natural log probability of each word data[start:end] under each column of ``logp`` (pieces x models).
 
-        Forward recursion in log space: alpha[j] = log sum over pieces ending at j of
-        exp(alpha[j - length] + log p(piece)). Words of one length go together.
+        Forward recursion: alpha[j] = sum over pieces ending at j of alpha[j - length] p(piece), kept as a
+        scaled value and the logarithm of its scale. Words of one length go together.
         """
         models = logp.shape[1]
-        known = np.vstack([logp, np.full((1, models), -np.inf)])
+        known = np.vstack([np.exp(logp), np.zeros((1, models))])
         out = np.zeros((len(start), models))
         length = end - start
         order = np.argsort(length, kind="stable")
         edges = np.searchsorted(length[order], np.arange(length.max() + 2)) if len(order) and length.max() < 4096 else None
         for n in np.unique(length):
             own = order[edges[n]:edges[n + 1]] if edges is not None else np.flatnonzero(length == n)
-            step = max(1, CELLS // (LONGEST * (int(n) + 1) * models))
+            step = max(1, CELLS // (min(LONGEST, int(n) + 1) * (int(n) + 1) * models))
             for a in range(0, len(own), step):
                 rows = own[a:a + step]
                 out[rows] = self._forward(data, start[rows], int(n), known)
@@ -113,18 +113,25 @@ class Lattice:
         sums = np.zeros((count, size + 1), np.uint64)
         np.cumsum(_BYTE[text] * powers(_BASE, size), axis=1, out=sums[:, 1:])
         inverse = powers(pow(_BASE, -1, 2**64), size)
-        # ending[:, j, LONGEST - l]: the piece of length l that ends after j + 1 bytes.
-        ending = np.full((count, size, LONGEST), self.count, np.int64)
-        for l in range(1, min(LONGEST, size) + 1):
+        # ending[:, j, most - l]: the piece of length l that ends after j + 1 bytes.
+        most = min(LONGEST, size)
+        ending = np.full((count, size, most), self.count, np.int64)
+        for l in range(1, most + 1):
             h = mix((sums[:, l:] - sums[:, :size - l + 1]) * inverse[:size - l + 1] + np.uint64(l))
-            ending[:, l - 1:, LONGEST - l] = self.find(h)
-        alpha = np.full((count, LONGEST + size, models), -np.inf)
-        alpha[:, LONGEST - 1] = 0
+            ending[:, l - 1:, most - l] = self.find(h)
+        # alpha[:, most + j] times exp(taken_out) is the probability of the first j + 1 bytes. The logarithm
+        # of the largest value is taken out every LONGEST bytes, before anything can underflow.
+        alpha = np.zeros((count, most + size, models))
+        alpha[:, most - 1] = 1
+        taken_out = np.zeros((count, models))
         for j in range(size):
-            ways = alpha[:, j:j + LONGEST] + known[ending[:, j]]
-            best = ways.max(axis=1)
-            alpha[:, LONGEST + j] = best + np.log(np.exp(ways - best[:, None]).sum(axis=1))
-        return alpha[:, -1]
+            window = alpha[:, j:j + most]
+            if j and j % LONGEST == 0:
+                largest = window.max(axis=1)
+                taken_out += np.log(largest)
+                window /= largest[:, None]
+            alpha[:, most + j] = np.einsum("nlm,nlm->nm", window, np.take(known, ending[:, j], axis=0))
+        return taken_out + np.log(alpha[:, -1])
 
 
 class Encoder:
