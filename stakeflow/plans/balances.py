@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stakeflow.functions.keys import surrogate_key
 from stakeflow.functions.numeric import RAW, clamped_tokens, exact_sum, micro, ratio, tokens, usd
@@ -13,6 +13,7 @@ from stakeflow.plans.snapshots import with_close_price
 from stakeflow.plans.validators import enrich
 
 PAIR = ["validator_id", "delegator_address"]
+SPARSE_HOURS = 24 * 90
 SHOWN = (
     "active_balance <> 0 OR pending_withdrawal_balance <> 0 "
     "OR daily_active_change <> 0 OR daily_pending_change <> 0"
@@ -102,6 +103,8 @@ def matched_withdrawals(withdrawals: DataFrame, undelegations: DataFrame) -> Dat
         right_ts="block_timestamp",
         right_cols={"undelegated_raw": "amount_raw"},
         right_tie=["block_number", "event_index"],
+        # A withdraw id is used a few times in its life, so a narrow span would hold single rows.
+        width=SPARSE_HOURS,
     )
     return matched.withColumn("settled_raw", F.coalesce("undelegated_raw", "amount_raw"))
 
@@ -115,16 +118,23 @@ def daily_stake_changes(
     Days after ``since`` and up to ``until``. Undelegations before ``since`` still
     serve as matches. Both bounds reach the scans.
     """
-    happened = F.to_date("block_timestamp")
+    def day_of(df: DataFrame) -> Column:
+        # Stored facts are partitioned by this column, so a bound on it prunes folders.
+        return F.col("block_date") if "block_date" in df.columns else F.to_date("block_timestamp")
+
+    def known(df: DataFrame) -> DataFrame:
+        return df.filter(day_of(df) <= F.lit(until))
 
     def later(df: DataFrame) -> DataFrame:
-        known = df.filter(happened <= F.lit(until))
-        return known.filter(happened > F.lit(since)) if since else known
+        return known(df).filter(day_of(df) > F.lit(since)) if since else known(df)
 
     amount, none = F.col("amount_raw"), F.lit(0).cast(RAW)
-    settled = matched_withdrawals(
-        later(withdrawals), undelegations.filter(happened <= F.lit(until))
-    )
+    taken_out, candidates = later(withdrawals), known(undelegations)
+    if since:
+        # Of all earlier undelegations only those of the ids withdrawn now can match.
+        ids = [*PAIR, "withdraw_id"]
+        candidates = candidates.join(taken_out.select(*ids).distinct(), ids, "left_semi")
+    settled = matched_withdrawals(taken_out, candidates)
     actions = [
         later(delegations).select(
             *PAIR, "block_timestamp", amount.alias("active"), none.alias("pending")

@@ -12,14 +12,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stakeflow.operators import latest_per_key
-from stakeflow.plans import balances, blocks
+from stakeflow.plans import balances, blocks, snapshots
 from stakeflow.plans.events import FACTS, fact
-from stakeflow.sources.increments import BEGINNING, high_watermark, since_watermark, window_start
+from stakeflow.sources.increments import (
+    BEGINNING, high_watermark, missing_periods, since_watermark, window_start,
+)
 from stakeflow.sources.sinks import read_target, replace_partitions, swap_in, upsert_replace
 
 MARK = "source_modified_timestamp"
@@ -87,7 +89,7 @@ def _after(df: DataFrame, col: str, mark: dt.datetime) -> DataFrame:
 
 
 def refresh_snapshots(
-    spark: SparkSession, snapshots: DataFrame, path: str, keys: Sequence[str] = ("snapshot_date", "validator_id"),
+    spark: SparkSession, rows: DataFrame, path: str, keys: Sequence[str] = ("snapshot_date", "validator_id"),
 ) -> None:
     """Snapshot facts, upserted by key.
 
@@ -95,15 +97,73 @@ def refresh_snapshots(
     old their day is. Without one, rows whose key the target does not hold are taken.
     """
     target = read_target(spark, path)
-    if MARK in snapshots.columns:
-        batch = latest_per_key(since_watermark(snapshots, target, MARK), list(keys), MARK)
+    if MARK in rows.columns:
+        batch = latest_per_key(since_watermark(rows, target, MARK), list(keys), MARK)
     elif target is not None:
-        batch = snapshots.join(target.select(*keys), list(keys), "left_anti")
+        batch = rows.join(target.select(*keys), list(keys), "left_anti")
     else:
-        batch = snapshots
+        batch = rows
     upsert_replace(spark, path, batch, list(keys), "snapshot_date", ["validator_id"], moves=False)
 
 
+def refresh_decoded(
+    spark: SparkSession, responses: DataFrame, path: str, decode: Callable[[DataFrame], DataFrame],
+    keys: Sequence[str],
+) -> None:
+    """A table of decoded responses, one folder per value of the first key.
+
+    Responses whose key has decoded rows already are skipped before they are decoded; those of keys that
+    came back empty, and whatever arrives late, are decoded now.
+    """
+    target = read_target(spark, path)
+    given = [k for k in keys if k in responses.columns]
+    fresh = responses if target is None else responses.join(target.select(*given).distinct(), given, "left_anti")
+    upsert_replace(spark, path, decode(fresh), list(keys), keys[0], [keys[-1]], moves=False)
+
+
+def refresh_validator_states(spark: SparkSession, responses: DataFrame, path: str) -> None:
+    """Decoded validator state per day and validator."""
+    refresh_decoded(spark, responses, path, snapshots.snapshot_get_validator, ("snapshot_date", "validator_id"))
+
+
+def refresh_delegator_states(
+    spark: SparkSession, responses: DataFrame, prices: DataFrame, path: str
+) -> None:
+    """Decoded self-delegation per day and validator."""
+    refresh_decoded(
+        spark, responses, path,
+        lambda fresh: snapshots.fact_validator_self_delegation_snapshots(fresh, prices),
+        ("snapshot_date", "validator_id"),
+    )
+
+
+def refresh_validator_set(spark: SparkSession, responses: DataFrame, path: str) -> None:
+    """Set members per epoch. An epoch is decoded when its last page is there, so no set is stored in part."""
+    target = read_target(spark, path)
+    whole = snapshots.set_pages(responses).filter("is_done").select("epoch")
+    if target is not None:
+        whole = whole.join(target.select("epoch").distinct(), "epoch", "left_anti")
+    fresh = snapshots.snapshot_validator_set(responses.join(whole, "epoch", "left_semi"))
+    upsert_replace(spark, path, fresh, ["epoch", "validator_id"], "epoch", ["validator_id"], moves=False)
+
+
+def refresh_validator_addresses(spark: SparkSession, created: DataFrame, states: DataFrame, path: str) -> None:
+    """The address table, one row per validator, replaced as a whole."""
+    swap_in(snapshots.validator_addresses(created, states), path, ["validator_id"])
+
+
+def pending_state_requests(
+    spark: SparkSession, created: DataFrame, max_blocks: DataFrame, path: str, *, as_of: dt.date, back: int = 7,
+) -> DataFrame:
+    """Validator state calls for the days of the last ``back`` that the stored table does not hold."""
+    target = read_target(spark, path)
+    held = None if target is None else target.select(F.col("snapshot_date").alias("block_date"))
+    days = missing_periods(
+        max_blocks, held, "block_date", earliest=as_of - dt.timedelta(days=back), before=as_of
+    )
+    return snapshots.validator_requests(created, snapshots.pending_days(days))
+
+
 def refresh_miner_ranges(
     spark: SparkSession, rewards: DataFrame, chain_blocks: DataFrame, path: str
 ) -> None:
@@ -163,7 +223,7 @@ def refresh_wallet_balances(
 
 def refresh_epoch_performance(
     spark: SparkSession, validator_set: DataFrame, created: DataFrame, epochs: DataFrame,
-    snapshots: DataFrame, production: DataFrame, path: str, *, back: int = 5,
+    states: DataFrame, production: DataFrame, path: str, *, back: int = 5,
 ) -> None:
     """Epoch performance: the last ``back`` published epochs and everything after them."""
     target = read_target(spark, path)
@@ -174,7 +234,7 @@ def refresh_epoch_performance(
         recent = F.col("epoch") > F.lit(since)
         validator_set, production = validator_set.filter(recent), production.filter(recent)
     batch = blocks.ez_validator_epoch_performance(
-        validator_set, created, epochs, snapshots, production
+        validator_set, created, epochs, states, production
     )
     replace_partitions(spark, path, batch, "epoch", ["validator_id"], covered=covered)
 

@@ -97,15 +97,23 @@ def set_requests(epochs: DataFrame, offsets: tuple[int, ...] = PAGE_OFFSETS) ->
 def set_pages(responses: DataFrame) -> DataFrame:
     """How far each epoch's set has been read: (epoch, epoch_start_block, is_done, next_index).
 
-    A page says whether it is the last one and where the next begins. An epoch is done when any of its
-    pages is the last one; ``next_index`` is where reading goes on.
+    A page says whether it is the last one and where the next begins. ``next_index`` is how far pages
+    reach without a gap from the start; the set is done when the last page lies within that reach.
     """
-    said = responses.withColumn("words", hx.words(response_payload(F.col("response"))))
-    return said.groupBy("epoch").agg(
-        F.max("epoch_start_block").alias("epoch_start_block"),
-        F.coalesce(F.max(number(0) != 0), F.lit(False)).alias("is_done"),
-        F.coalesce(F.max(number(1)).cast("bigint"), F.lit(0)).alias("next_index"),
+    pages = responses.withColumn("words", hx.words(response_payload(F.col("response")))).select(
+        "epoch", "epoch_start_block", F.col("start_index").cast("bigint").alias("start"),
+        number(1).cast("bigint").alias("next"), (number(0) != 0).alias("last"),
     )
+    # A set has few pages, so one array holds them.
+    read = pages.groupBy("epoch").agg(
+        F.max("epoch_start_block").alias("epoch_start_block"),
+        F.array_sort(F.collect_list(F.when(F.col("next").isNotNull(), F.struct("start", "next", "last")))).alias("pages"),
+    ).withColumn("next_index", F.aggregate(
+        "pages", F.lit(0).cast("bigint"),
+        lambda reach, p: F.when(p["start"] <= reach, F.greatest(reach, p["next"])).otherwise(reach),
+    ))
+    done = F.exists("pages", lambda p: p["last"] & (p["start"] <= F.col("next_index")))
+    return read.select("epoch", "epoch_start_block", done.alias("is_done"), "next_index")
 
 
 def next_set_requests(responses: DataFrame) -> DataFrame:

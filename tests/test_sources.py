@@ -13,7 +13,7 @@ from stakeflow.sources import increments, sinks, tables
 from stakeflow.sources.contracts import ContractError, conform
 from stakeflow.sources.samples import AS_OF
 from stakeflow.streaming.facts import run_available
-from tests.conftest import day, rows, same
+from tests.conftest import day, rows, same, ts, wei
 
 AUDIT = ["inserted_timestamp", "modified_timestamp"]
 
@@ -222,3 +222,69 @@ def test_checks_return_failing_rows(spark, path):
     }, path)
     found = rows(checks.failure_counts(spark, path), "check_name")
     assert [(r["check_name"], r["failures"]) for r in found] == [("not_null", 1), ("unique", 1)]
+
+
+def test_periods_are_counted_not_rows(spark):
+    src = frame(spark, (1, day(1), 1), (2, day(2), 2), (3, day(2), 3), (4, day(3), 4), (5, day(4), 5))
+    assert [r["k"] for r in rows(increments.missing_periods(src, src.filter("k = 1"), "d", 2), "k")] == [2, 3, 4]
+    assert increments.missing_periods(src, None, "d").count() == 5
+
+
+def test_moved_key_leaves_its_old_partition(spark, path):
+    sinks.upsert_replace(spark, path, frame(spark, (1, day(1), 1), (2, day(2), 2), (3, day(2), 3)), "k", "d")
+    sinks.upsert_replace(spark, path, frame(spark, (1, day(3), 9), (2, day(3), 9)), "k", "d")
+    found = rows(sinks.read_target(spark, path).drop(*AUDIT), "k")
+    assert [(r["k"], r["d"], r["v"]) for r in found] == [(1, day(3), 9), (2, day(3), 9), (3, day(2), 3)]
+
+
+def test_late_snapshot_rows_are_taken(spark, chain, path):
+    late = F.col("validator_id") == 2
+    for seen in (chain.validator_snapshots.filter(~late), chain.validator_snapshots):
+        refresh.refresh_snapshots(spark, seen, path)
+    same(sinks.read_target(spark, path).drop(*AUDIT), chain.validator_snapshots)
+
+
+def test_stake_refresh_keeps_amounts_below_the_clamp(spark, path):
+    """Two deposits too small to show make one that does; a large balance keeps its last digits."""
+    make = lambda *found: spark.createDataFrame(
+        [(v, f"0x{v}", ts(f"{d:02d} 10:00:00"), wei(a)) for v, d, a in found],
+        "validator_id long, delegator_address string, block_timestamp timestamp_ntz, amount_raw decimal(38,0)",
+    )
+    none = spark.createDataFrame([], (
+        "validator_id long, delegator_address string, withdraw_id long, block_timestamp timestamp_ntz, "
+        "amount_raw decimal(38,0), block_number long, event_index int"
+    ))
+    deposits = make((1, 1, "0.00006"), (1, 8, "0.00006"), (2, 1, "12345678901.123457"), (2, 8, "0.000002"))
+    for as_of in (day(3), day(7), day(12)):
+        seen = deposits.filter(F.to_date("block_timestamp") <= F.lit(as_of))
+        refresh.refresh_stake_balances(spark, seen, none, none, path, as_of=as_of)
+    stored = balances.published(sinks.read_target(spark, path).drop(*AUDIT))
+    full = balances.ez_staking_balances_daily(deposits, none, none, as_of=day(12))
+    same(stored, full)
+    last = {r["validator_id"]: r["active_balance"] for r in rows(full.filter(F.col("balance_date") == F.lit(day(12))))}
+    assert last[1] == 0.00012
+
+
+def test_set_pages_go_on_until_done(spark):
+    from stakeflow.plans import snapshots
+
+    def page(epoch, start, done, after):
+        word = lambda n: f"{n:064x}"
+        body = "0x" + word(done) + word(after) + word(96) + word(1) + word(start)
+        return (epoch, epoch * 10, start, '{"data":{"result":"' + body + '"}}')
+
+    answers = spark.createDataFrame(
+        [page(1, 0, 0, 100), page(1, 100, 0, 200), page(1, 200, 0, 300), page(2, 0, 1, 100)],
+        "epoch long, epoch_start_block long, start_index long, response string",
+    )
+    asked = rows(snapshots.next_set_requests(answers))
+    assert [(r["epoch"], r["start_index"]) for r in asked] == [(1, 300)]
+    full = answers.unionByName(spark.createDataFrame([page(1, 300, 1, 320)], answers.schema))
+    assert snapshots.next_set_requests(full).count() == 0
+
+
+def test_every_pending_day_is_requested(spark, chain):
+    from stakeflow.plans import snapshots
+
+    days = snapshots.pending_days(chain.max_blocks)
+    assert snapshots.validator_requests(chain.created, days).count() == days.count() * chain.created.count()

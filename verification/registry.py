@@ -153,6 +153,47 @@ query("K4_upsert_pruned", (
 ))
 
 
+AUDIT = ("inserted_timestamp", "modified_timestamp")
+LAST_SEEN = "SELECT user_id, MAX(CAST(ts AS DATE)) AS day, COUNT(*) AS n FROM events"
+
+
+def _last_seen(c: SampleChain, upto: str) -> DataFrame:
+    return c.events.filter(F.col("day") <= F.lit(upto)).groupBy("user_id").agg(
+        F.max("day").alias("day"), F.count("*").alias("n")
+    )
+
+
+@query("K2_upsert_writer", f"{LAST_SEEN} GROUP BY 1")
+def _moved_keys(c: SampleChain) -> DataFrame:
+    """Users by the day they were last seen on: nearly every key moves to another folder."""
+    path = shared_dir(c.spark, "last-seen")
+    for upto in ("2024-01-20", "9999-12-31"):
+        sinks.upsert_replace(c.spark, path, _last_seen(c, upto), "user_id", "day")
+    return sinks.read_target(c.spark, path).drop(*AUDIT)
+
+
+@query("K3_merge_writer", (
+    f"SELECT day, vid, CASE WHEN day >= DATE '2024-01-15' THEN n * 10 ELSE n END AS n, "
+    f"CASE WHEN day > DATE '2024-01-20' THEN 'batch' ELSE 'target' END AS origin FROM ({DAY_TOTALS})"
+))
+def _merged(c: SampleChain) -> DataFrame:
+    path = shared_dir(c.spark, "merged")
+    first = _day_totals(c, "2024-01-20", "0001-01-01").withColumn("origin", F.lit("target"))
+    for batch in (first, _batch(c)):
+        sinks.merge_upsert(c.spark, path, batch, ["day", "vid"], ["n"])
+    return sinks.read_target(c.spark, path).drop(*AUDIT)
+
+
+@query("K4_pruned_writer", (
+    f"SELECT day, vid, CASE WHEN day >= DATE '2024-01-15' THEN n * 10 ELSE n END AS n FROM ({DAY_TOTALS})"
+))
+def _pruned(c: SampleChain) -> DataFrame:
+    path = shared_dir(c.spark, "pruned")
+    for batch in (_day_totals(c, "2024-01-20", "0001-01-01"), _batch(c).drop("origin")):
+        sinks.upsert_pruned(c.spark, path, batch, ["day", "vid"], "day")
+    return sinks.read_target(c.spark, path).drop(*AUDIT)
+
+
 @query("K5_write_clustered", DAY_TOTALS)
 def _clustered(c: SampleChain) -> DataFrame:
     path = shared_dir(c.spark, "clustered")
@@ -330,6 +371,42 @@ query("D11_snapshot_validator_set", o.statement("SELECT * FROM validator_set"))(
 query("D12_validator_addresses", o.statement("SELECT * FROM addresses"))(lambda c: c.addresses)
 
 
+def _in_two_runs(c: SampleChain, purpose: str, late: str, run: Callable) -> DataFrame:
+    """A stored table after a run without the rows that ``late`` names and one with them."""
+    path = shared_dir(c.spark, purpose)
+    for condition in (f"NOT ({late})", "true"):
+        run(condition, path)
+    return sinks.read_target(c.spark, path).drop(*AUDIT)
+
+
+# One validator answers a run late on every day, another only on one of them.
+LATE = "validator_id = 3 OR (validator_id = 5 AND day(snapshot_date) = 9)"
+
+query("I1b_snapshot_refresh", o.statement("SELECT * FROM vsnaps"))(lambda c: _in_two_runs(
+    c, "snapshots", LATE, lambda seen, path: refresh.refresh_snapshots(c.spark, c.validator_snapshots.filter(seen), path)
+))
+query("D10_validator_states_refresh", o.statement("SELECT * FROM decoded"))(lambda c: _in_two_runs(
+    c, "states", LATE, lambda seen, path: refresh.refresh_validator_states(c.spark, c.validator_responses.filter(seen), path)
+))
+query("M7_delegator_states_refresh", o.statement("SELECT * FROM self_snaps"))(lambda c: _in_two_runs(
+    c, "self-states", LATE,
+    lambda seen, path: refresh.refresh_delegator_states(c.spark, c.delegator_responses.filter(seen), c.prices, path),
+))
+query("D11_validator_set_refresh", o.statement("SELECT * FROM validator_set"))(lambda c: _in_two_runs(
+    c, "sets", "epoch % 3 = 1 AND start_index = 0",
+    lambda seen, path: refresh.refresh_validator_set(c.spark, c.set_responses.filter(seen), path),
+))
+
+
+@query("D12_validator_addresses_refresh", o.statement("SELECT * FROM addresses"))
+def _addresses(c: SampleChain) -> DataFrame:
+    path = shared_dir(c.spark, "addresses")
+    for upto in ("2024-01-10", "9999-12-31"):
+        states = c.decoded.filter(F.col("snapshot_date") <= F.lit(upto))
+        refresh.refresh_validator_addresses(c.spark, c.created, states, path)
+    return sinks.read_target(c.spark, path)
+
+
 # --- generic operators --------------------------------------------------------------
 
 query("J5_full_outer_measures", (
@@ -527,6 +604,21 @@ query("M5_fees_increment", o.statement(
 ))(lambda c: blocks.fact_block_priority_fees_increment(
     c.transactions, c.blocks, c.rewards, dt.datetime(2001, 11, 1)
 ))
+@query("M5_fees_refresh", o.statement("SELECT * FROM fees"))
+def _fees_refreshed(c: SampleChain) -> DataFrame:
+    """Transactions in two loads, then the rewards of one epoch, which come after their blocks were stored."""
+    path = shared_dir(c.spark, "fees")
+    early = F.col("epoch") != 1
+    stamped = c.rewards.withColumn(
+        refresh.MARK, F.when(early, F.lit("2024-01-31")).otherwise(F.lit("2024-02-01")).cast("timestamp_ntz")
+    )
+    loads = (("2001-11-01", stamped.filter(early)), ("9999-12-31", stamped.filter(early)), ("9999-12-31", stamped))
+    for upto, rewards in loads:
+        seen = c.transactions.filter(F.col("modified_timestamp") <= F.lit(f"{upto} 00:00:00").cast("timestamp_ntz"))
+        refresh.refresh_block_fees(c.spark, seen, c.blocks, rewards, path)
+    return sinks.read_target(c.spark, path).drop(*AUDIT, "block_date", refresh.MARK, refresh.REWARD_MARK)
+
+
 query("M6_fact_validator_snapshots", o.statement("SELECT * FROM vsnaps"))(
     lambda c: c.validator_snapshots
 )
