@@ -93,7 +93,11 @@ def improve(best: Best, q_id: np.ndarray, q: np.ndarray, c_id: np.ndarray, c: np
                 continue
             score = (qs[rows] @ cs[part][some].T).astype(np.float64)
             score[(q_id[rows, None] == own[None, some]) | ~open_[:, some]] = -np.inf
-            best.take(rows, score, own[some])
+            # Only queries and candidates that change something are sorted in.
+            hit = (score >= kth[rows, None]) & ~np.isneginf(score)
+            better, useful = hit.any(axis=1), hit.any(axis=0)
+            if better.any():
+                best.take(rows[better], score[better][:, useful], own[some][useful])
 
 
 def _different(ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
