@@ -29,6 +29,7 @@ from stakeflow.llm.scratch import written
 BUCKET = 256  # candidates of neighbouring length
 BLOCK = 16384  # queries that are broadcast together
 STEEP = 0.6  # local cosine threshold from which coordinates prune
+ROWS = 1024  # queries worked on at a time
 FOCUS = 8  # coordinates of a query in the coordinate bound
 MATCH = "query_id long, vec_id long, score long"
 
@@ -77,13 +78,13 @@ def improve(best: Best, q_id: np.ndarray, q: np.ndarray, c_id: np.ndarray, c: np
             continue
         steep = live[cosine[live] >= STEEP]
         flat = live[~(cosine[live] >= STEEP)]
-        for rows, by_coordinate in ((steep, True), (flat, False)):
-            if not len(rows):
-                continue
+        parts = [(x[i:i + ROWS], x is steep) for x in (steep, flat) for i in range(0, len(x), ROWS)]
+        for rows, by_coordinate in parts:
             bound = q_length[rows, None] * length[None, part]
             if by_coordinate:
-                near = np.stack([cs[part][:, f] @ qs[r, f] for r, f in zip(rows, focus[rows])]).astype(np.float64)
-                held = np.stack([(c[part][:, f].astype(np.float64) ** 2).sum(axis=1) for f in focus[rows]])
+                at = c[part].astype(np.float64)[:, focus[rows]]
+                near = np.einsum("crf,rf->rc", at, np.take_along_axis(q, focus, 1)[rows].astype(np.float64))
+                held = (at * at).sum(axis=2).T
                 left = np.sqrt(np.maximum(0, length[None, part] ** 2 - held))
                 bound = near + rest[rows, None] * left
             slack = 1e-9 * (1 + np.abs(bound))
