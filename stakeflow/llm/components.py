@@ -32,6 +32,14 @@ def _small(links: DataFrame) -> DataFrame:
     )
 
 
+def _settled(links: DataFrame) -> bool:
+    """Whether all links are arms of stars: every u has one v, which is smaller and no u itself."""
+    ends = links.select(F.col("u").alias("id"), F.lit(1).alias("out"), F.lit(0).alias("in"), F.expr("int(v > u)").alias("up"))
+    ends = ends.unionByName(links.select(F.col("v").alias("id"), F.lit(0).alias("out"), F.lit(1).alias("in"), F.lit(0).alias("up")))
+    odd = ends.groupBy("id").agg(F.sum("out").alias("out"), F.max("in").alias("in"), F.max("up").alias("up"))
+    return odd.filter("out > 1 OR (out = 1 AND in = 1) OR up = 1").isEmpty()
+
+
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(id, component): each linked id with the smallest id it can reach.
 
@@ -41,13 +49,10 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """
     tidy = lambda df: df.filter("u <> v").distinct()
     now = written(tidy(links), "links")
-    seen = None
     for _ in range(most_rounds):
-        now = written(tidy(_small(tidy(_large(now)))), "links")
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == seen:
-            return now.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component")).unionByName(
+        if _settled(now):
+            return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
                 now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
             )
-        seen = mark
+        now = written(tidy(_small(tidy(_large(now)))), "links")
     raise RuntimeError("components did not settle")

@@ -35,6 +35,7 @@ BINS = 128
 ROWS = 4
 BANDS = BINS // ROWS
 BLOCK = 256
+SMALL = 1_000_000  # ids that may be broadcast, some tens of MB at most
 SKETCH = "id long, n_shingles long, mark long, bands array<long>"
 
 
@@ -192,25 +193,23 @@ def near_duplicates(
     met = written(
         proposed.select(F.col("u").alias("mark")).unionByName(proposed.select(F.col("v").alias("mark"))).distinct(), "met"
     )
-    texts = rows.join(classes.join(met, "mark").select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
+    wanted = written(classes.join(met, "mark").select(F.col("rep").alias("id")).distinct(), "wanted")
     sets = written(
-        texts.mapInArrow(_set_batches(k), "mark long, items array<long>").join(met, "mark", "left_semi").dropDuplicates(["mark"]),
-        "sets",
+        small_or_shuffled(rows, wanted, "id", wanted.count()).select("id", "text").mapInArrow(
+            _set_batches(k), "mark long, items array<long>"
+        ).join(met, "mark", "left_semi").dropDuplicates(["mark"]), "sets",
     )
     can_reach = f"{of} * least(n_shingles, centre_size) >= {least} * greatest(n_shingles, centre_size)"
-    pairs = proposed.filter(can_reach).select("u", "v").join(
-        sets.select(F.col("mark").alias("u"), F.col("items").alias("x")), "u"
-    ).join(sets.select(F.col("mark").alias("v"), F.col("items").alias("y")), "v")
-    near = pairs.select(
-        "u", "v", F.size(F.array_intersect("x", "y")).alias("c"), (F.size("x") + F.size("y")).alias("total")
-    ).filter(F.col("c") * of >= (F.col("total") - F.col("c")) * least).select("u", "v")
-    confirmed = written(near, "near")
-    rest = _rest(proposed, met, components(confirmed), sets, least, of)
-    links = confirmed if rest is None else confirmed.unionByName(rest)
-    # Rows of one document tie their classes together.
+    links = confirmed(proposed.filter(can_reach), sets, least, of)
+    label = components(links).withColumnRenamed("id", "mark")
+    more = rest_of_groups(proposed, met, label, sets, least, of)
+    # Rows of one document tie its classes together.
     several = filled.groupBy("id").agg(F.min("mark").alias("u"), F.max("mark").alias("v")).filter("u <> v")
     knots = filled.select("id", F.col("mark").alias("v")).join(several.select("id", "u"), "id").select("u", "v")
-    label = components(links.unionByName(knots)).withColumnRenamed("id", "mark")
+    more = written(knots if more is None else more.unionByName(knots), "more")
+    if not more.isEmpty():
+        stars = label.select(F.col("mark").alias("u"), F.col("component").alias("v"))
+        label = components(stars.unionByName(more)).withColumnRenamed("id", "mark")
     named = written(classes.select("mark", "rep").join(label, "mark"), "named")
     least_id = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     class_of = named.join(least_id, "component").select("mark", "component_id").unionByName(
@@ -223,19 +222,42 @@ def near_duplicates(
     ))
 
 
-def _rest(
+def small_or_shuffled(rows: DataFrame, wanted: DataFrame, key: str, ids: int) -> DataFrame:
+    """``rows`` joined with the few ``wanted`` ones: broadcast up to ``SMALL`` ids, or else a plain join."""
+    return rows.join(F.broadcast(wanted) if ids <= SMALL else wanted, key)
+
+
+def confirmed(proposed: DataFrame, sets: DataFrame, least: int, of: int) -> DataFrame:
+    """The proposed links (u, v) whose full sets are similar enough."""
+    pairs = proposed.select("u", "v").join(
+        sets.select(F.col("mark").alias("u"), F.col("items").alias("x")), "u"
+    ).join(sets.select(F.col("mark").alias("v"), F.col("items").alias("y")), "v")
+    common = F.size(F.array_intersect("x", "y"))
+    return written(pairs.select("u", "v", common.alias("c"), (F.size("x") + F.size("y")).alias("total")).filter(
+        F.col("c") * of >= (F.col("total") - F.col("c")) * least
+    ).select("u", "v"), "near")
+
+
+def rest_of_groups(
     proposed: DataFrame, met: DataFrame, found: DataFrame, sets: DataFrame, least: int, of: int,
 ) -> DataFrame | None:
     """Links between components of one group of proposals that no star has joined."""
-    label = met.join(found.withColumnRenamed("id", "mark"), "mark", "left").select(
+    label = written(met.join(found, "mark", "left").select(
         "mark", F.coalesce("component", "mark").alias("component")
+    ), "label")
+    # Groups of components that proposals run between.
+    ends = proposed.select("u", "v").join(label.select(F.col("mark").alias("u"), F.col("component").alias("x")), "u").join(
+        label.select(F.col("mark").alias("v"), F.col("component").alias("y")), "v"
     )
-    groups = components(proposed.select("u", "v")).select(F.col("id").alias("mark"), F.col("component").alias("grp"))
-    member = written(label.join(groups, "mark"), "grouped")
+    between = written(ends.filter("x <> y").select(F.col("x").alias("u"), F.col("y").alias("v")).distinct(), "between")
+    if between.isEmpty():
+        return None
+    groups = components(between).select(F.col("id").alias("component"), F.col("component").alias("grp"))
+    member = written(label.join(groups, "component"), "grouped")
     by_part = member.groupBy("grp", "component").agg(F.count("*").alias("n"))
     main = by_part.groupBy("grp").agg(
-        F.max(F.struct("n", "component")).alias("m"), F.sum("n").alias("all"), F.count("*").alias("parts")
-    ).filter("all > 2 AND parts > 1").select("grp", F.col("m.component").alias("main"))
+        F.max(F.struct("n", "component")).alias("m"), F.sum("n").alias("all")
+    ).filter("all > 2").select("grp", F.col("m.component").alias("main"))
     step = math.log(of / least)
     rows = written(member.join(main, "grp").join(sets, "mark").select(
         "grp", "mark", "component", "items", (F.col("component") != F.col("main")).alias("small"),
