@@ -158,7 +158,8 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, text: str = "text",
     positive = ids.join(own.filter("quality = 1"), "doc_id", "left_semi").distinct().orderBy(order).limit(sample)
     unlabelled = ids.distinct().orderBy(order, "doc_id").limit(sample)
     chosen = positive.withColumn("kind", F.lit(1)).unionByName(unlabelled.withColumn("kind", F.lit(0)))
-    rows = docs.join(F.broadcast(chosen), "doc_id").select("kind", F.col(text).cast("string").alias("text"))
+    texts = docs.select("doc_id", F.col(text).cast("string").alias("text"))
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("kind", "text")
     found = rows.mapInArrow(_feature_batches, "kind int, x array<double>").toPandas()
     pos, unl = (np.stack(found.loc[found["kind"] == k, "x"]) if (found["kind"] == k).any() else None for k in (1, 0))
     if pos is None or unl is None:
