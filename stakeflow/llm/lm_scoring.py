@@ -24,9 +24,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stakeflow.llm import lattice as lat
 from stakeflow.llm.lattice import Encoder, Lattice, groups
-from stakeflow.llm.scratch import written
+from stakeflow.llm.scratch import small_batches, written
 
 SHARE = 1 << 17  # a word with at least 1/SHARE of the tokens is broadcast, so at most SHARE words are
+GROUP_BYTES = 4 << 20  # of text held at a time
 PIECE_SMOOTHING = 0.1
 ADD = 0.1
 SCORES = "row long, doc_id long, word string, times long, tokens long, known long, base double, score double"
@@ -36,7 +37,7 @@ def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """(word, occurrences in training texts) of each distinct word of a group of documents."""
     for batch in batches:
         train = np.array(batch.column(1), bool)
-        for a, b, words in groups(batch.column(0)):
+        for a, b, words in groups(batch.column(0), GROUP_BYTES):
             n = np.bincount(words.place, train[a:b][words.doc], len(words)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([words.arrow(), pa.array(n)], ["word", "n"])
 
@@ -80,9 +81,10 @@ def learn_words(docs: DataFrame, train: Column, text: str = "text", vocabulary:
     made = lat.tables(lat.read_model(vocabulary))
     shared = context.broadcast(made)
     rows = docs.select(F.col(text).cast("string").alias("text"), train.alias("train"))
-    words = written(
-        rows.mapInArrow(_word_batches, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words"
-    )
+    with small_batches(docs.sparkSession):
+        words = written(
+            rows.mapInArrow(_word_batches, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words"
+        )
     pieces = words.filter("n > 0").mapInArrow(_piece_batches(shared), "piece long, n long").groupBy("piece").agg(
         F.sum("n").alias("n")
     ).toPandas()
@@ -101,13 +103,13 @@ def _document_batches(head):
         names, n, base, logp = head.value
         for batch in batches:
             row, ids = np.array(batch.column(0)), batch.column(1)
-            for a, b, words in groups(batch.column(2)):
+            for a, b, words in groups(batch.column(2), GROUP_BYTES):
                 size = b - a
                 known = np.isin(words.hash, names)
                 at = np.searchsorted(names, words.hash[known])
                 value = np.zeros((len(words), 3))
                 value[known] = np.column_stack([n[at] > 0, base[at], logp[at]])
-                sums = [np.bincount(words.doc, value[words.place, i], size) for i in range(3)]
+                sums = [np.bincount(words.doc, value[words.place, i], size).astype(np.float64) for i in range(3)]
                 # One row with the sums over broadcast words; its key is no word, so it meets nothing.
                 none = pa.nulls(size, pa.int64())
                 yield pa.RecordBatch.from_arrays([
@@ -157,7 +159,8 @@ def score(docs: DataFrame, train: Column, text: str = "text", vocabulary: str =
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")
     )
-    found = rows.mapInArrow(_document_batches(head), SCORES)
+    with small_batches(docs.sparkSession):
+        found = written(rows.mapInArrow(_document_batches(head), SCORES), "occurrences")
     times = F.col("times")
     each = found.join(words, "word", "left").select(
         "row", "doc_id", "tokens",

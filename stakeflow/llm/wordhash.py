@@ -12,7 +12,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _RNG = np.random.Generator(np.random.PCG64(20240131))
 _LETTER = _RNG.integers(1, 2**64, 256, dtype=np.uint64, endpoint=False) | np.uint64(1)
 _SPACE = np.zeros(256, bool)
@@ -43,10 +43,10 @@ _KEPT: dict[int, np.ndarray] = {}
 
 def _kept_powers(base: int, n: int) -> np.ndarray:
     """``powers`` for slices, worked out once in a process for all but single long texts."""
-    if n > 2 * SLICE_BYTES:
+    if n > SLICE_BYTES:
         return powers(base, n)
     if base not in _KEPT:
-        _KEPT[base] = powers(base, 2 * SLICE_BYTES)
+        _KEPT[base] = powers(base, SLICE_BYTES)
     return _KEPT[base][:n]
 
 
