@@ -11,7 +11,8 @@ exact Jaccard similarity of their shingles. Components of classes are clusters.
 keeps the passage, the others lose it.
 
 Bands are tuned for recall: three bands of two rows find a paragraph at similarity 0.8 with probability 0.95, an
-equal one always, and a repeated passage usually has several paragraphs.
+equal one always, and a repeated passage usually has several paragraphs. Links that a star misses are found as in
+``near_dups``.
 
 Cases: NULL, empty and blank texts and texts of fewer than PARAGRAPH words have no paragraphs; a passage repeated
 only within one document is not reported; rows that share a doc_id are one document; rows with NULL doc_id take no part; an empty table
@@ -27,12 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stakeflow.llm.components import components
+from stakeflow.llm.near_dups import confirmed, rest_of_groups, small_or_shuffled
 from stakeflow.llm.scratch import written
 from stakeflow.llm.wordhash import Words, mix, runs, slices, split
 
 PARAGRAPH = 26
 SHINGLE = 5
 BANDS, ROWS = 3, 2
+KEYS = [f"key{i}" for i in range(BANDS)]
 _SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
 
 
@@ -58,8 +61,8 @@ def paragraph_starts(words: Words, grams: np.ndarray, size: int = PARAGRAPH) ->
     return at[chosen]
 
 
-def _paragraph_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(band key, hash of the paragraph's words, doc_id, start) of each paragraph and band."""
+def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(doc_ids, starts, shingles of each paragraph, hash of its words) of each slice."""
     span = np.arange(PARAGRAPH - SHINGLE + 1)
     for batch in batches:
         ids = np.array(batch.column(0))
@@ -67,86 +70,101 @@ def _paragraph_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
             words = split(data, offsets)
             grams = runs(words.hashes(), SHINGLE)
             starts = paragraph_starts(words, grams)
-            if not len(starts):
-                continue
-            own = grams[starts[:, None] + span]
-            exact = np.full(len(own), 0x77, np.uint64)
-            for j in range(0, own.shape[1]):
-                exact = mix(exact * np.uint64(31) + own[:, j])
-            least = [mix(own ^ seed).min(axis=1) for seed in _SEEDS]
-            keys = []
-            for band in range(BANDS):
-                key = np.full(len(own), band + 1, np.uint64)
-                for r in range(ROWS):
-                    key = mix(key * np.uint64(31) + least[band * ROWS + r])
-                keys.append(key.view(np.int64))
-            doc = words.doc[starts]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate(keys)), pa.array(np.tile(exact.view(np.int64), BANDS)),
-                pa.array(np.tile(ids[a:b][doc], BANDS)), pa.array(np.tile((starts - words.first[doc]).astype(np.int32), BANDS)),
-            ], ["key", "exact", "doc_id", "start"])
+            if len(starts):
+                own = grams[starts[:, None] + span]
+                exact = np.full(len(own), 0x77, np.uint64)
+                for j in range(own.shape[1]):
+                    exact = mix(exact * np.uint64(31) + own[:, j])
+                doc = words.doc[starts]
+                yield ids[a:b][doc], (starts - words.first[doc]).astype(np.int32), own, exact.view(np.int64)
+
+
+def _class_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(exact, doc_id, band keys) of each paragraph."""
+    for ids, _, own, exact in _paragraphs(batches):
+        least = [mix(own ^ seed).min(axis=1) for seed in _SEEDS]
+        keys = []
+        for band in range(BANDS):
+            key = np.full(len(own), band + 1, np.uint64)
+            for r in range(ROWS):
+                key = mix(key * np.uint64(31) + least[band * ROWS + r])
+            keys.append(pa.array(key.view(np.int64)))
+        yield pa.RecordBatch.from_arrays([pa.array(exact), pa.array(ids), *keys], ["exact", "doc_id", *KEYS])
+
+
+def _place_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(exact, doc_id, start) of each paragraph."""
+    for ids, starts, _, exact in _paragraphs(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(exact), pa.array(ids), pa.array(starts)], ["exact", "doc_id", "start"])
 
 
 def _shingle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(exact, shingles) of the paragraphs that each document's lists name by their start and hash."""
-    span = np.arange(PARAGRAPH - SHINGLE + 1)
+    """(mark, items): hash and distinct shingles of those paragraphs that a document's list names."""
     for batch in batches:
-        for a, b, data, offsets in slices(batch.column(0)):
-            words = split(data, offsets)
-            grams = runs(words.hashes(), SHINGLE)
-            starts, exacts = (batch.column(i).slice(a, b - a).to_pylist() for i in (1, 2))
-            at = np.concatenate([np.array(x, np.int64) + words.first[d] for d, x in enumerate(starts)])
-            own = grams[at[:, None] + span].view(np.int64)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([e for x in exacts for e in x], pa.int64()),
-                pa.ListArray.from_arrays(np.arange(0, own.size + 1, own.shape[1], dtype=np.int32), pa.array(own.ravel())),
-            ], ["exact", "items"])
-
-
-def repeated_passages(docs: DataFrame, text: str = "text", least: float = 0.8) -> DataFrame:
+        wanted = np.unique(np.concatenate([np.asarray(x, np.int64) for x in batch.column(2).to_pylist()]))
+        for _, _, own, exact in _paragraphs([batch]):
+            exact, lead = np.unique(exact, return_index=True)
+            fit = np.isin(exact, wanted)
+            items = [np.unique(x).view(np.int64) for x in own[lead[fit]]]
+            if items:
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(exact[fit]),
+                    pa.ListArray.from_arrays(np.cumsum([0, *map(len, items)], dtype=np.int32), pa.array(np.concatenate(items))),
+                ], ["mark", "items"])
+
+
+def repeated_passages(docs: DataFrame, text: str = "text", least: int = 80, of: int = 100) -> DataFrame:
     """(doc_id, start, end, cluster, first_doc, removed): word spans of passages that other documents have too.
 
     A span joins the overlapping or touching paragraphs of one document that repeat; ``removed`` is false where the
     document is the first of every cluster in the span. ``cluster`` numbers the first of them.
+
+    Paragraphs of equal words become one class before anything is joined, so copies cost one row each.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).filter(
         "doc_id IS NOT NULL"
     )
-    every = rows.mapInArrow(_paragraph_batches, "key long, exact long, doc_id long, start int")
-    # Keys with one paragraph, nearly all of them, are found from the keys alone.
-    common = every.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    shared = written(every.join(common, "key", "left_semi"), "passages")
-    classes = shared.groupBy("key", "exact").agg(F.min(F.struct("doc_id", "start")).alias("at"))
-    centres = classes.groupBy("key").agg(F.min(F.struct("at", "exact")).alias("c"), F.count("*").alias("n")).filter("n > 1")
-    proposed = written(
-        classes.select("key", "exact", "at").join(centres.select("key", F.col("c.exact").alias("centre"), F.col("c.at").alias("centre_at")), "key")
-        .filter("exact <> centre").groupBy("exact", "centre").agg(F.min("at").alias("at"), F.min("centre_at").alias("centre_at")),
-        "proposed",
+    keys = ", ".join(f"{k} long" for k in KEYS)
+    classes = written(
+        rows.mapInArrow(_class_batches, f"exact long, doc_id long, {keys}").groupBy("exact").agg(
+            F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"), *[F.min(k).alias(k) for k in KEYS]
+        ), "classes",
     )
-    places = proposed.select("exact", "at").unionByName(
-        proposed.select(F.col("centre").alias("exact"), F.col("centre_at").alias("at"))
-    ).groupBy("exact").agg(F.min("at").alias("at"))
-    listed = places.groupBy(F.col("at.doc_id").alias("doc_id")).agg(
-        F.collect_list(F.struct(F.col("at.start").alias("start"), "exact")).alias("p")
-    ).select("doc_id", F.col("p.start").alias("starts"), F.col("p.exact").alias("exacts"))
-    items = written(
-        rows.dropDuplicates(["doc_id"]).join(listed, "doc_id").select("text", "starts", "exacts").mapInArrow(
-            _shingle_batches, "exact long, items array<long>"
-        ), "shingles",
+    banded = classes.select("exact", F.explode(F.array(*KEYS)).alias("key"))
+    centres = banded.groupBy("key").agg(F.min("exact").alias("centre"), F.max("exact").alias("other")).filter(
+        "centre < other"
+    ).drop("other")
+    proposed = written(banded.join(centres, "key").filter("exact <> centre").select(
+        F.col("exact").alias("u"), F.col("centre").alias("v")
+    ).distinct(), "proposed")
+    met = written(
+        proposed.select(F.col("u").alias("mark")).unionByName(proposed.select(F.col("v").alias("mark"))).distinct(), "met"
     )
-    pairs = proposed.select(F.col("exact").alias("u"), F.col("centre").alias("v")).join(
-        items.select(F.col("exact").alias("u"), F.col("items").alias("x")), "u"
-    ).join(items.select(F.col("exact").alias("v"), F.col("items").alias("y")), "v")
-    near = pairs.filter(F.size(F.array_intersect("x", "y")) >= F.lit(least) * F.size(F.array_union("x", "y"))).select("u", "v")
-    label = components(near).withColumnRenamed("id", "exact")
-    member = shared.select("exact", "doc_id", "start").distinct().join(label, "exact", "left").select(
-        "doc_id", "start", F.coalesce("component", "exact").alias("cluster")
+    listed = classes.join(met, F.col("exact") == F.col("mark")).groupBy(F.col("first_doc").alias("doc_id")).agg(
+        F.collect_list("exact").alias("exacts")
     )
-    member = written(member, "clustered")
-    firsts = member.groupBy("cluster").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).filter(
+    sets = written(
+        small_or_shuffled(rows, written(listed, "listed"), "doc_id", met.count()).select("doc_id", "text", "exacts").mapInArrow(
+            _shingle_batches, "mark long, items array<long>"
+        ).dropDuplicates(["mark"]), "shingles",
+    )
+    near = confirmed(proposed, sets, least, of)
+    label = components(near)
+    more = rest_of_groups(proposed, met, label.withColumnRenamed("id", "mark"), sets, least, of)
+    more = None if more is None else written(more, "more")
+    if more is not None and not more.isEmpty():
+        label = components(label.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(more))
+    # A class that is linked with nothing and lies in one document is no repeat.
+    named = written(classes.join(label.withColumnRenamed("id", "exact"), "exact", "left").filter(
+        "component IS NOT NULL OR first_doc < last_doc"
+    ).select("exact", F.coalesce("component", "exact").alias("cluster"), "first_doc", "last_doc"), "named")
+    spread = named.groupBy("cluster").agg(F.min("first_doc").alias("first_doc"), F.max("last_doc").alias("last_doc")).filter(
         "first_doc < last_doc"
     ).drop("last_doc")
-    flagged = member.join(firsts, "cluster")
+    repeated = named.select("exact", "cluster").join(spread, "cluster")
+    flagged = rows.mapInArrow(_place_batches, "exact long, doc_id long, start int").join(repeated, "exact").select(
+        "doc_id", "start", "cluster", "first_doc"
+    )
     in_doc = Window.partitionBy("doc_id").orderBy("start", "cluster")
     apart = (F.col("start") > F.lag("start").over(in_doc) + PARAGRAPH).cast("int")
     return flagged.withColumn("apart", F.coalesce(apart, F.lit(1))).withColumn(
