@@ -74,14 +74,14 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", vocabulary: s
     return names, np.log(table / table.sum(axis=0)) if names else table
 
 
-def _score_batches(made, learned, keys: int):
+def _score_batches(made, learned, keys: int, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, logp = learned.value
         lattice = Lattice(made.value)
         labels = np.array([*names, UNKNOWN], object)
         for batch in batches:
-            letter = np.array(batch.column(keys + 1), bool)
-            for a, b, words in groups(batch.column(keys)):
+            letter = np.array(batch.column(batch.num_columns - 1), bool)
+            for a, b, words in groups(batch.column(at)):
                 best = np.full(b - a, len(names))
                 score = np.zeros(b - a)
                 if names:
@@ -112,11 +112,16 @@ def predict(
     kept = docs.select(*keep) if keep is not None else docs
     kept = kept.drop("lang_pred", "score")
     content = docs[text].cast("string")
+    # The text travels once: as a kept column, or else beside them.
+    at = kept.columns.index(text) if text in kept.columns and dict(kept.dtypes)[text] == "string" else len(kept.columns)
     rows = docs.select(
-        *[docs[c] for c in kept.columns], content.alias("__text"), F.coalesce(content.rlike(r"\p{L}"), F.lit(False)).alias("__letter")
+        *[docs[c] for c in kept.columns], *([content.alias("__text")] if at == len(kept.columns) else []),
+        F.coalesce(content.rlike(r"\p{L}"), F.lit(False)).alias("__letter"),
     )
     fields = ", ".join(f"`{c}` {t}" for c, t in kept.dtypes)
-    return rows.mapInArrow(_score_batches(made, learned, len(kept.columns)), f"{fields}, lang_pred string, score double")
+    return rows.mapInArrow(
+        _score_batches(made, learned, len(kept.columns), at), f"{fields}, lang_pred string, score double"
+    )
 
 
 def identify(docs: DataFrame, parts: int = 4, part: int = 2, vocabulary: str = lat.VOCABULARY, keep: list[str] | None = None) -> DataFrame:

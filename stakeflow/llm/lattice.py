@@ -17,7 +17,7 @@ from stakeflow.llm.wordhash import Words, mix, powers, slices, split
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 LONGEST = 16  # bytes; the few longer pieces are left out
-GROUP_BYTES = 32 << 20  # of text whose distinct words are scored together
+GROUP_BYTES = 16 << 20  # of text whose distinct words are scored together
 CELLS = 1 << 20  # of one forward table
 _BASE = 0xD1342543DE82EF95
 _BYTE = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
