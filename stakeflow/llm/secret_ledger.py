@@ -160,9 +160,10 @@ def findings(versions: DataFrame, ledger: str, text: str = "text", rules: tuple[
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(placed)))).alias("spans")
     ).withColumnRenamed("blob_id", "found_blob")
     kept = versions.drop("spans")
-    return kept.join(
-        found, blob_id(kept[text].cast("string")) == found["found_blob"], "left"
-    ).select(kept["*"], F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))
+    addressed = kept.withColumn("__blob", blob_id(kept[text].cast("string")))
+    return addressed.join(found, F.col("__blob") == F.col("found_blob"), "left").select(
+        *[addressed[c] for c in kept.columns], F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans")
+    )
 
 
 def without_findings(versions: DataFrame, ledger: str, text: str = "text") -> DataFrame:
