@@ -5,7 +5,9 @@ the score an item gives itself, so a score is the share of the item's weight tha
 and one threshold fits all items. Items lie in blocks. A passage first adds the block maxima of its
 terms, for all blocks at once; a block whose sum stays below the threshold cannot hold an item to
 retrieve. In the other blocks WAND moves from pivot to pivot. Every item above the threshold is then
-verified: the five-word shingles of its question and of its answer must be found in the passage.
+verified: 0.8 of the five-word shingles of the whole item, those across question and answer included, must be
+found in the passage, or 0.8 of those of its question and of its answer each, wherever these stand in it. Words
+are compared without the punctuation before and after them.
 
 A passage is two adjoining cells of at least the words of the longest item, and cells advance one by
 one, so an item is never cut.
@@ -26,14 +28,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stakeflow.llm.wordhash import runs, shingles, slices, split
+from stakeflow.llm.wordhash import bare, runs, shingles, slices, split
 
 K1, B = 1.2, 0.75
 BLOCK = 4  # items
 SHARD = 2048  # items of one index; a larger benchmark takes several passes over the documents
 LEAST_CELL = 32  # words
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
-FOUND = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
+FOUND = "doc_id long, item_id long, score double, item_overlap double, question_overlap double, answer_overlap double"
+PARTS = ("item", "question", "answer")
 
 
 def question_and_answer(text: str) -> tuple[str, str]:
@@ -46,7 +49,7 @@ def hashed(texts: list[str], k: int | None = None) -> list[np.ndarray]:
     """Word hashes of each text, or its distinct k-word shingles."""
     out = []
     for _, _, data, offsets in slices(pa.array(texts, pa.string())):
-        words = split(data, offsets)
+        words = bare(split(data, offsets))
         h, first = (words.hashes(), words.first) if k is None else shingles(words, k)
         out += [np.unique(h[a:b]) if k else h[a:b] for a, b in zip(first, first[1:])]
     return out
@@ -57,7 +60,7 @@ def build_index(ids: list, texts: list[str], k: int = 5) -> dict:
     words = hashed(texts)
     some = [i for i, w in enumerate(words) if len(w)]
     words = [words[i] for i in some]
-    parts = [question_and_answer(texts[i]) for i in some]
+    parts = [(texts[i], *question_and_answer(texts[i])) for i in some]
     terms = np.unique(np.concatenate(words)) if words else np.zeros(0, np.uint64)
     n, mean = len(words), np.mean([len(w) for w in words]) if words else 1.0
     counted = [np.unique(w, return_counts=True) for w in words]
@@ -77,8 +80,8 @@ def build_index(ids: list, texts: list[str], k: int = 5) -> dict:
         np.maximum.at(ceiling[:, item // BLOCK], at, weight.astype(np.float32) * 1.000001)
     return {
         "terms": terms, "ceiling": ceiling, "postings": postings, "ids": [ids[i] for i in some],
-        "question": hashed([q for q, _ in parts], k), "answer": hashed([a for _, a in parts], k),
-        "lengths": {x: [len(h) for h in hashed([p[i] for p in parts])] for i, x in enumerate(("question", "answer"))},
+        **{x: hashed([p[i] for p in parts], k) for i, x in enumerate(PARTS)},
+        "lengths": {x: [len(h) for h in hashed([p[i] for p in parts])] for i, x in enumerate(PARTS)},
         "cell": max([LEAST_CELL, *map(len, words)]), "k": k,
     }
 
@@ -142,11 +145,11 @@ class Finder:
             term[hit] = near[hit] + step
         return term
 
-    def search(self, column: pa.Array) -> Iterator[tuple[int, int, float, float, float]]:
-        """(row, item, score, question overlap, answer overlap) of each row and item, from the first passage that has it."""
+    def search(self, column: pa.Array) -> Iterator[tuple[int, int, float, float, float, float]]:
+        """(row, item, score, overlaps of the whole item, its question and its answer) of each row and item, from the first passage that has it."""
         index, terms, ceiling, cell = self.index, len(self.index["terms"]), self.index["ceiling"], self.index["cell"]
         for a, b, data, offsets in slices(column):
-            words = split(data, offsets)
+            words = bare(split(data, offsets))
             h = words.hashes()
             term = self.term_of(h)
             known = np.flatnonzero(term >= 0)
@@ -176,13 +179,12 @@ class Finder:
                 for item, score in wand(index, held, block, self.threshold):
                     if (d, item) in seen:
                         continue
-                    asked, answered = (
-                        covered(index[x][item], index["lengths"][x][item], h[first:last], index["k"])
-                        for x in ("question", "answer")
+                    whole, asked, answered = (
+                        covered(index[x][item], index["lengths"][x][item], h[first:last], index["k"]) for x in PARTS
                     )
-                    if min(asked, answered) >= self.overlap:
+                    if max(whole, min(asked, answered)) >= self.overlap:
                         seen.add((d, item))
-                        yield a + d, item, score, asked, answered
+                        yield a + d, item, score, whole, asked, answered
 
 
 def _find_batches(shared, threshold: float, overlap: float):
@@ -195,7 +197,7 @@ def _find_batches(shared, threshold: float, overlap: float):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(rows)), pa.array([shared.value["ids"][i] for i in items], pa.int64()),
                      *(pa.array(x, pa.float64()) for x in figures)],
-                    ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"],
+                    ["doc_id", "item_id", "score", *(f"{x}_overlap" for x in PARTS)],
                 )
 
     return run
@@ -254,6 +256,5 @@ def find_items(
     for part in parts[1:]:
         found = found.unionByName(part)
     return found.groupBy("doc_id", "item_id").agg(
-        F.max("score").alias("score"), F.max("question_overlap").alias("question_overlap"),
-        F.max("answer_overlap").alias("answer_overlap"),
+        F.max("score").alias("score"), *[F.max(f"{x}_overlap").alias(f"{x}_overlap") for x in PARTS],
     )

@@ -18,6 +18,8 @@ _LETTER = _RNG.integers(1, 2**64, 256, dtype=np.uint64, endpoint=False) | np.uin
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LETTER[_SPACE] = 0
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -89,6 +91,44 @@ def split(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(low, doc, start, end, first)
 
 
+def _punctuation(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to ASCII punctuation, U+2000 to U+207F or one of the marks of C2 A1, AB, BB and BF."""
+    marks = _PUNCTUATION[data]
+    lead = np.flatnonzero(data >= 0xC2)
+    lead = lead[lead < len(data) - 1]
+    two = lead[(data[lead] == 0xC2) & np.isin(data[lead + 1], (0xA1, 0xAB, 0xBB, 0xBF))]
+    three = lead[(data[lead] == 0xE2) & ((data[lead + 1] == 0x80) | (data[lead + 1] == 0x81))]
+    three = three[three < len(data) - 2]
+    for at, size in ((two, 2), (three, 3)):
+        for j in range(size):
+            marks[at + j] = True
+    return marks
+
+
+def bare(words: Words) -> Words:
+    """The words without punctuation before and after them; a word of punctuation alone stays as it is."""
+    if not len(words.start):
+        return words
+    marks = _punctuation(words.data)
+    some = np.flatnonzero(marks[words.start] | marks[words.end - 1])
+    inner = np.flatnonzero(~(marks | _SPACE[words.data]))
+    if not len(some) or not len(inner):
+        return words
+    a, b = words.start[some], words.end[some]
+    low, high = np.searchsorted(inner, a), np.searchsorted(inner, b)
+    fit = low < high
+    some, a, b, low, high = (x[fit] for x in (some, a, b, low, high))
+    start, end = words.start.copy(), words.end.copy()
+    start[some], end[some] = inner[low], inner[high - 1] + 1
+    # What was cut reads as space, since hashes sum up to the next word.
+    cut = np.zeros(len(words.data) + 1, np.int8)
+    for at, by in ((a, 1), (start[some], -1), (end[some], 1), (b, -1)):
+        cut[at] += by
+    data = words.data.copy()
+    data[np.cumsum(cut[:-1], dtype=np.int8) > 0] = 32
+    return words._replace(data=data, start=start, end=end)
+
+
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, bytes, offsets) of parts of a text column; NULL reads as empty.
 

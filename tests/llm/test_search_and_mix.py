@@ -88,6 +88,24 @@ def test_items_are_found_wherever_they_lie(spark):
     assert sorted(r["doc_id"] for r in clean.collect()) == [i for i in range(120) if i % 3]
 
 
+def test_items_with_a_glued_or_edited_word_are_found(spark):
+    rng = random.Random(5)
+    prose = lambda n: " ".join(f"term{rng.randrange(4000)}" for _ in range(n))
+    question, answer = prose(40).capitalize() + ".", prose(4) + " for."
+    edited = " ".join([*answer.split()[:3], "other", "for."])
+    short = prose(7)
+    docs = [
+        f"{question} {answer}&&& {prose(30)}", f"{prose(20)} ({question} {answer})", f"{prose(20)} \u201c{question} {answer}\u201d",
+        f"{prose(300)} {question} {answer[:-1]}{prose(50)}", f"{question} {edited} {prose(30)}", f"-- {short}&&& {prose(9)}",
+        f"{question} So we ask and say: {answer} {prose(30)}", f"{prose(30)} {answer}", " ".join(question.split()[:25]),
+    ]
+    bench = spark.createDataFrame([(0, f"{question} {answer}"), (1, short), (2, "?! ++")], "item_id long, text string")
+    found = decontaminate.find_items(spark.createDataFrame([*enumerate(docs)], "doc_id long, text string"), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(0, 0), (1, 0), (2, 0), (3, 0), (4, 0), (5, 1), (6, 0)}
+    overlaps = {r["doc_id"]: (r["item_overlap"], r["question_overlap"], r["answer_overlap"]) for r in found}
+    assert overlaps[0] == (1, 1, 1) and overlaps[4][0] > 0.8 and overlaps[4][2] == 0
+
+
 def test_decontamination_odd_rows(spark):
     bench = spark.createDataFrame([(1, "one two three four", "x"), (None, "漢字 words here", "x")], "item_id long, text string, score string")
     found = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_items(odd_docs(spark), bench).collect()}
