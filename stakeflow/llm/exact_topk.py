@@ -42,7 +42,10 @@ def whole_vectors(rows: DataFrame, vector: Column, scale: float = 64.0) -> Colum
 
 
 class Best:
-    """The k best candidates so far of each query, by score and then by id."""
+    """The k best different candidates so far of each query, by score and then by id.
+
+    An id with an equal score is held once, however many batches repeat its row.
+    """
 
     def __init__(self, queries: int, k: int):
         self.score = np.full((queries, k), -np.inf)
@@ -52,8 +55,15 @@ class Best:
         k = self.score.shape[1]
         merged = np.concatenate([self.score[rows], score], axis=1)
         every = np.concatenate([self.id[rows], np.broadcast_to(ids, score.shape)], axis=1)
-        keep = np.lexsort((every, -merged), axis=1)[:, :k]
-        self.score[rows], self.id[rows] = np.take_along_axis(merged, keep, 1), np.take_along_axis(every, keep, 1)
+        keep = np.lexsort((every, -merged), axis=1)
+        merged, every = np.take_along_axis(merged, keep, 1), np.take_along_axis(every, keep, 1)
+        again = np.zeros(merged.shape, bool)
+        again[:, 1:] = (merged[:, 1:] == merged[:, :-1]) & (every[:, 1:] == every[:, :-1])
+        if again.any():
+            merged[again], every[again] = -np.inf, np.iinfo(np.int64).max
+            keep = np.argsort(again, axis=1, kind="stable")[:, :k]
+            merged, every = np.take_along_axis(merged, keep, 1), np.take_along_axis(every, keep, 1)
+        self.score[rows], self.id[rows] = merged[:, :k], every[:, :k]
 
 
 def improve(best: Best, q_id: np.ndarray, q: np.ndarray, c_id: np.ndarray, c: np.ndarray) -> None:

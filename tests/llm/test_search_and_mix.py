@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stakeflow.llm import decontaminate, exact_topk, mixture, passage_dups, token_rollup
+from stakeflow.llm.scratch import small_batches
 from tests.llm.helpers import ODD, SMALL, odd_docs, words
 
 
@@ -37,6 +38,16 @@ def test_topk_equals_brute_force(spark, block):
     assert exact_topk.search(docs.limit(0)).count() == 0
 
 
+def test_copies_in_many_batches_take_one_place(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(0, 1, 8)]) for i in range(1, 90)] + [(100, [2.0] * 8)]
+    copies = [r for i in range(40) for r in ((101, [9.0] * 8), rows[i], (102, [8.0] * 8))]  # in batches of 5: in 24 of them
+    docs = spark.createDataFrame(rows[:45] + copies + rows[45:], "vec_id long, embedding array<double>").coalesce(1)
+    with small_batches(spark, 5):
+        found = {tuple(r) for r in exact_topk.search(docs, k=6, every=20).collect()}
+    assert found == brute_topk(rows + copies, 6, 20) and len(found) == 6 * 5
+
+
 def test_steep_buckets_are_pruned_and_still_right():
     rng = np.random.default_rng(2)
     c = rng.integers(-3, 4, (3000, 16))
