@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stakeflow.llm import decontaminate, exact_topk, mixture, passage_dups, token_rollup
 from stakeflow.llm.scratch import small_batches
-from tests.llm.helpers import ODD, SMALL, odd_docs, words
+from tests.llm.helpers import ODD, SMALL, near_components, odd_docs, words
 
 
 def brute_topk(rows, k, every):
@@ -226,6 +226,31 @@ def test_edited_passages_are_verified_by_similarity(spark):
     assert found == {1, 2}
 
 
+def test_lines_with_an_edit_in_the_middle_equal_brute_force(spark):
+    rng = random.Random(12)
+    prose = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    lines = {}
+    for i in range(80):
+        base = prose(55 + i % 6)
+        edited = list(base)
+        edited[len(base) // 2] = "edited"
+        for side, line in enumerate((base, edited)):
+            cut = [" ".join(line[a:a + 14]) for a in range(0, len(line), 14)]
+            passage = "\n".join(cut) if i % 4 == 3 else " ".join(line)
+            around = [" ".join(prose(rng.choice([5, 40]))) for _ in range(2)]
+            lines[2 * i + side] = f"{around[0]}\n{passage}\n{around[1]}", " ".join(line)
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in lines.items()], "doc_id long, text string")
+    found = passage_dups.repeated_passages(docs).collect()
+    expected = near_components({i: x for i, (_, x) in lines.items()}, 5, 80)
+    assert len(set(expected.values())) == 80
+    assert {(r["doc_id"], r["first_doc"]) for r in found} == set(expected.items())
+    # A span has the whole line; a paragraph over its edge may add a word or two.
+    for r in found:
+        text, line = lines[r["doc_id"]]
+        at = text.split().index(line.split()[0])
+        assert at - 2 <= r["start"] <= at and 0 <= r["end"] - at - len(line.split()) <= 2 or r["doc_id"] // 2 % 4 == 3
+
+
 def test_passages_odd_rows(spark):
     long = " ".join(f"q{i}" for i in range(60))
     rows = [*ODD, (20, long, "en", "a", 1), (21, long, "en", "a", 1), (None, long, "en", "a", 1), (22, None, "en", "a", 1)]
