@@ -48,7 +48,8 @@ EXTRA = (
 )
 RULES = BASE + EXTRA
 SPAN = "struct<start:bigint,rank:int,end:bigint,kind:string>"
-LEDGER = f"blob_id string, rules array<string>, spans array<{SPAN}>"
+LEDGER_SPAN = SPAN.replace(">", ",version:int>")
+LEDGER = f"blob_id string, rules array<string>, spans array<{LEDGER_SPAN}>"
 
 
 def blob_id(text: Column) -> Column:
@@ -100,13 +101,14 @@ def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     each = found.select("blob_id", "todo", "p.*")
     so_far = Window.partitionBy("blob_id", "rank").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.col("len")).over(so_far)
-    kinds = F.array(*[F.lit(r.kind) for r in rules])
+    kinds, versions = (F.array(*[F.lit(x) for x in xs]) for xs in zip(*[(r.kind, r.version) for r in rules]))
     span = F.struct(
         (F.col("end") - F.col("len")).alias("start"), "rank", "end", F.get(kinds, F.col("rank")).alias("kind"),
+        F.get(versions, F.col("rank")).alias("version"),
     )
     return each.withColumn("end", end).groupBy("blob_id").agg(
         F.first("todo").alias("rules"),
-        F.array_sort(F.collect_list(F.when(F.col("ok"), span))).cast(f"array<{SPAN}>").alias("spans"),
+        F.array_sort(F.collect_list(F.when(F.col("ok"), span))).cast(f"array<{LEDGER_SPAN}>").alias("spans"),
     )
 
 
@@ -145,16 +147,27 @@ def scan_increment(
     return spark.read.schema(LEDGER).parquet(target)
 
 
+def _rule_key(span: Column) -> Column:
+    """kind@version; the version of a span stored without one is that of its row's rule of the kind."""
+    of_row = F.get(F.filter("rules", lambda r: r.startswith(F.concat(span["kind"], F.lit("@")))), F.lit(0))
+    return F.coalesce(F.concat(span["kind"], F.lit("@"), span["version"].cast("string")), of_row)
+
+
+def _known(rules: tuple[Rule, ...]) -> Column:
+    """Spans of a ledger row that one of the rules gave, in its own version."""
+    keys = F.array(*[F.lit(r.key) for r in rules])
+    return F.filter("spans", lambda s: F.array_contains(keys, _rule_key(s)))
+
+
 def findings(versions: DataFrame, ledger: str, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``versions`` with ``spans``: what the ledger holds, under the given rules, for each row's blob.
 
     Only blobs with a finding are joined; spans are ordered by start, then by rule.
     """
     spark = versions.sparkSession
-    ranks = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.kind), F.lit(i))])
-    known = F.filter("spans", lambda s: F.array_contains(F.array(*[F.lit(r.kind) for r in rules]), s["kind"]))
-    placed = F.transform(known, lambda s: F.struct(
-        s["start"].alias("start"), ranks[s["kind"]].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"),
+    ranks = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.key), F.lit(i))])
+    placed = F.transform(_known(rules), lambda s: F.struct(
+        s["start"].alias("start"), ranks[_rule_key(s)].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"),
     ))
     found = read_ledger(spark, ledger).filter(F.size("spans") > 0).groupBy("blob_id").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(placed)))).alias("spans")
@@ -166,9 +179,11 @@ def findings(versions: DataFrame, ledger: str, text: str = "text", rules: tuple[
     )
 
 
-def without_findings(versions: DataFrame, ledger: str, text: str = "text") -> DataFrame:
-    """The rows of ``versions`` whose blob has no finding in the ledger."""
-    found = read_ledger(versions.sparkSession, ledger).filter(F.size("spans") > 0).select(F.col("blob_id").alias("__blob")).distinct()
+def without_findings(
+    versions: DataFrame, ledger: str, text: str = "text", rules: tuple[Rule, ...] = RULES,
+) -> DataFrame:
+    """The rows of ``versions`` whose blob has no finding in the ledger, under the given rules."""
+    found = read_ledger(versions.sparkSession, ledger).filter(F.size(_known(rules)) > 0).select(F.col("blob_id").alias("__blob")).distinct()
     addressed = versions.withColumn("__blob", blob_id(versions[text].cast("string")))
     return addressed.join(found, "__blob", "left_anti").select(*[addressed[c] for c in versions.columns])
 

@@ -52,6 +52,23 @@ def test_only_unseen_pairs_are_scanned(spark, tmp_path):
     assert sorted(r["doc_id"] for r in clean.collect()) == [0, 2]
 
 
+def test_spans_of_an_older_version_are_left_out(spark, tmp_path):
+    ledger, plain = str(tmp_path / "ledger"), "deadbeef" * 3
+    docs = spark.createDataFrame([(0, plain), (1, plain + "0" * 16)], "doc_id long, text string")
+    newer = (*s.BASE[:2], s.BASE[2]._replace(version=2, least=40))
+    s.scan_increment(docs, ledger, "1", rules=s.BASE)
+    s.scan_increment(docs, ledger, "2", rules=newer)
+    found = lambda rules: [len(r["spans"]) for r in s.findings(docs, ledger, rules=rules).orderBy("doc_id").collect()]
+    clean = lambda rules: [r["doc_id"] for r in s.without_findings(docs, ledger, rules=rules).collect()]
+    assert found(s.BASE) == [1, 1] and clean(s.BASE) == []
+    assert found(newer) == [0, 1] and clean(newer) == [0]
+    # A ledger whose spans have no version takes it from the rules of the row.
+    old = str(tmp_path / "old")
+    held = s.read_ledger(spark, ledger).withColumn("spans", s.F.col("spans").cast(f"array<{s.LEDGER_SPAN}>"))
+    held.withColumn("spans", s.F.transform("spans", lambda x: x.dropFields("version"))).write.partitionBy("batch").parquet(old)
+    assert [len(r["spans"]) for r in s.findings(docs, old, rules=newer).orderBy("doc_id").collect()] == [0, 1]
+
+
 def test_odd_rows(spark, tmp_path):
     docs, ledger = odd_docs(spark), str(tmp_path / "ledger")
     s.scan_increment(docs, ledger, "a")
