@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from stakeflow.llm.scratch import written
 from stakeflow.llm.wordhash import bare, runs, shingles, slices, split
 
 K1, B = 1.2, 0.75
@@ -55,8 +56,11 @@ def hashed(texts: list[str], k: int | None = None) -> list[np.ndarray]:
     return out
 
 
-def build_index(ids: list, texts: list[str], k: int = 5) -> dict:
-    """An index of some items, as plain arrays and dicts that can be broadcast."""
+def build_index(ids: list, texts: list[str], k: int = 5, whole: tuple[int, int, dict[int, int]] | None = None) -> dict:
+    """An index of some items, as plain arrays and dicts that can be broadcast.
+
+    ``whole`` has the number of items and words and the items with each term, over all shards.
+    """
     words = hashed(texts)
     some = [i for i, w in enumerate(words) if len(w)]
     words = [words[i] for i in some]
@@ -65,7 +69,10 @@ def build_index(ids: list, texts: list[str], k: int = 5) -> dict:
     n, mean = len(words), np.mean([len(w) for w in words]) if words else 1.0
     counted = [np.unique(w, return_counts=True) for w in words]
     df = np.bincount(np.concatenate([np.searchsorted(terms, t) for t, _ in counted]), minlength=len(terms)) if words else np.zeros(0)
-    idf = np.log1p((n - df + 0.5) / (df + 0.5))
+    total = n
+    if whole:
+        total, mean, df = whole[0], whole[1] / whole[0], np.array([whole[2][t] for t in terms.view(np.int64).tolist()])
+    idf = np.log1p((total - df + 0.5) / (df + 0.5))
     blocks = -(-n // BLOCK)
     ceiling = np.zeros((len(terms) + 1, blocks), np.float32)
     postings: dict[tuple[int, int], tuple[list, list]] = {}
@@ -214,13 +221,36 @@ def _clean_batches(shared, threshold: float, overlap: float, at: int):
     return run
 
 
+def _term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shard, term, words) of each item's terms; the first term of an item carries its number of words."""
+    for batch in batches:
+        own = hashed(batch.column(1).to_pylist())
+        terms = [np.unique(w) for w in own]
+        shard = np.repeat(np.array(batch.column(0)), [len(t) for t in terms])
+        words = [np.where(np.arange(len(t)) == 0, len(w), 0) for t, w in zip(terms, own)]
+        if len(shard):
+            yield pa.RecordBatch.from_arrays([
+                pa.array(shard), pa.array(np.concatenate(terms).view(np.int64)), pa.array(np.concatenate(words).astype(np.int64)),
+            ], ["shard", "term", "words"])
+
+
 def indexes(items: DataFrame, shard: int = SHARD) -> Iterator[dict]:
     """An index of each shard of the items; one for a benchmark of at most ``shard`` items."""
     tests = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     shards = max(1, -(-tests.count() // shard))
+    tests = tests.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)))
+    if shards > 1:
+        # Weights are those of one index over all items: terms of a shard come with their counts in the whole.
+        terms = written(tests.select("shard", "text").mapInArrow(_term_batches, "shard long, term long, words long"), "terms")
+        count, words = terms.agg(F.count(F.when(F.col("words") > 0, 1)), F.sum("words")).first()
+        df = written(terms.groupBy("term").agg(F.count("*").alias("n")), "term-counts")
     for i in range(shards):
-        own = tests.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == i).orderBy("item_id", "text").collect()
-        index = build_index([r["item_id"] for r in own], [r["text"] for r in own])
+        own = tests.filter(F.col("shard") == i).orderBy("item_id", "text").collect()
+        whole = None
+        if shards > 1:
+            held = terms.filter(F.col("shard") == i).select("term").distinct().join(df, "term").collect()
+            whole = (count, words, {r["term"]: r["n"] for r in held})
+        index = build_index([r["item_id"] for r in own], [r["text"] for r in own], whole=whole)
         if index["ids"]:
             yield index
 

@@ -117,6 +117,22 @@ def test_items_with_a_glued_or_edited_word_are_found(spark):
     assert overlaps[0] == (1, 1, 1) and overlaps[4][0] > 0.8 and overlaps[4][2] == 0
 
 
+def test_shards_score_as_one_index(spark):
+    rng = random.Random(6)
+    texts = [" ".join(f"t{int(rng.paretovariate(0.6)) % 500}" for _ in range(rng.randint(1, 40))) for _ in range(70)]
+    bench = spark.createDataFrame([*enumerate([*texts, texts[0]]), (99, None), (None, " ")], "item_id long, text string")
+
+    def weights(shard):
+        found = {}
+        for index in decontaminate.indexes(bench, shard):
+            for (term, _), (items, values) in index["postings"].items():
+                found |= {(index["ids"][i], int(index["terms"][term])): v for i, v in zip(items, values)}
+        return found
+
+    one = weights(2048)
+    assert weights(9) == pytest.approx(one) and len({i for i, _ in one}) == 71
+
+
 def test_decontamination_odd_rows(spark):
     bench = spark.createDataFrame([(1, "one two three four", "x"), (None, "漢字 words here", "x")], "item_id long, text string, score string")
     found = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_items(odd_docs(spark), bench).collect()}
