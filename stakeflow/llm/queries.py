@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stakeflow.llm import (
-    decontaminate, exact_topk, language_id, lm_scoring, mixture, near_dups, passage_dups, quality_pu, secret_ledger, token_rollup,
+    decontaminate, exact_topk, filter_audit, language_id, lm_scoring, mixture, near_dups, passage_dups, quality_pu, secret_ledger,
+    token_rollup,
 )
 from stakeflow.llm.scratch import scratch_path
 
@@ -235,3 +236,60 @@ LEFT JOIN picks k ON k.source IS NOT DISTINCT FROM r.source AND k.hash = r.hash
 
 
 query("op10_source_mix", _mix_sql())(lambda spark, folder: mixture.mix(table(spark, folder, "documents")))
+
+
+# --- 13: filter interaction audit ------------------------------------------------------
+
+def _audit_sql() -> str:
+    word = "'[^\x20\x09-\x0D]+'"
+    bits = ", ".join(f"('{letter}', {1 << i})" for i, letter in enumerate(filter_audit.LETTERS))
+    symbols = filter_audit.SYMBOLS.decode()
+    return f"""
+WITH d AS (SELECT doc_id, COALESCE(source, '') AS part, COALESCE(text, '') AS t FROM documents),
+f AS (
+  SELECT doc_id, part, t, len(regexp_extract_all(t, {word})) AS n_words,
+    len(list_distinct(regexp_extract_all(t, {word}))) AS n_distinct,
+    length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_capitals, length(t) AS n_code_points,
+    regexp_matches(t, '[{symbols}]') AS symbol
+  FROM d
+),
+least_ AS (SELECT t, MIN(doc_id) AS least FROM d GROUP BY t),
+lab AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT f.part,
+    CASE WHEN n_words < {filter_audit.MIN_WORDS} THEN 1 ELSE 0 END + CASE WHEN 100 * n_distinct < 50 * n_words THEN 2 ELSE 0 END
+    + CASE WHEN 100 * n_capitals > 2 * n_code_points THEN 4 ELSE 0 END + CASE WHEN symbol THEN 8 ELSE 0 END
+    + CASE WHEN f.doc_id > least_.least THEN 16 ELSE 0 END AS mask,
+    COALESCE(lab.good, false) AS good, COALESCE(lab.toxic, false) AS toxic
+  FROM f JOIN least_ USING (t) LEFT JOIN lab ON lab.doc_id = f.doc_id
+),
+hist AS (SELECT part, mask, COUNT(*) AS n, COUNT(*) FILTER (WHERE good) AS good, COUNT(*) FILTER (WHERE toxic) AS toxic FROM m GROUP BY ALL),
+letters(l, bit) AS (VALUES {bits}),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+),
+steps AS (
+  SELECT filter_order, step::INTEGER AS step, bits[step] AS bit, COALESCE(list_sum(bits[1:step - 1]), 0) AS earlier
+  FROM orders, range(1, 6) r(step)
+),
+parts AS (SELECT DISTINCT part FROM d),
+counted AS (
+  SELECT p.part, s.filter_order, s.step, s.bit,
+    COALESCE(SUM(n) FILTER (WHERE mask & (s.earlier | s.bit) = 0), 0)::BIGINT AS kept,
+    COALESCE(SUM(n) FILTER (WHERE mask & s.bit <> 0 AND mask & s.earlier = 0), 0)::BIGINT AS removed,
+    COALESCE(SUM(n) FILTER (WHERE mask & s.bit <> 0 AND mask & s.earlier <> 0), 0)::BIGINT AS redundant,
+    COALESCE(SUM(n) FILTER (WHERE mask = s.bit), 0)::BIGINT AS unique_fails,
+    COALESCE(SUM(good) FILTER (WHERE mask & s.bit <> 0 AND mask & s.earlier = 0), 0)::BIGINT AS good_lost,
+    COALESCE(SUM(toxic) FILTER (WHERE mask & s.bit <> 0 AND mask & s.earlier = 0), 0)::BIGINT AS toxic_lost
+  FROM parts p CROSS JOIN steps s LEFT JOIN hist h ON h.part = p.part GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  SUM(removed) OVER (PARTITION BY part, bit)::BIGINT AS shapley
+FROM counted
+"""
+
+
+query("op13_filter_audit", _audit_sql())(lambda spark, folder: filter_audit.audit(
+    table(spark, folder, "documents"), table(spark, folder, "labels")
+))
