@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stakeflow.llm import (
-    decontaminate, exact_topk, filter_audit, language_id, lm_scoring, mixture, near_dups, passage_dups, quality_pu, secret_ledger,
+    centroids, decontaminate, exact_topk, filter_audit, language_id, lm_scoring, mixture, near_dups, passage_dups, quality_pu, secret_ledger,
     token_rollup,
 )
 from stakeflow.llm.scratch import scratch_path
@@ -293,3 +293,42 @@ FROM counted
 query("op13_filter_audit", _audit_sql())(lambda spark, folder: filter_audit.audit(
     table(spark, folder, "documents"), table(spark, folder, "labels")
 ))
+
+
+# --- 12: centroid clustering --------------------------------------------------------
+
+def _clusters_sql() -> str:
+    d, k = centroids.DIMENSIONS, centroids.CLUSTERS
+    distance = f"list_sum([(x.v[i] - c.v[i]) * (x.v[i] - c.v[i]) for i in range(1, {d + 1})])"
+    steps = [f"""
+kept AS (
+  SELECT ROW_NUMBER() OVER () AS r, vec_id, [floor({centroids.SCALE} * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = {d} AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+),
+c0 AS (
+  SELECT (ROW_NUMBER() OVER (ORDER BY sha256('{centroids.SEED_PREFIX}' || vec_id::VARCHAR), v) - 1)::INTEGER AS c, v
+  FROM kept WHERE vec_id IS NOT NULL QUALIFY c < {k}
+)"""]
+    for i in range(centroids.ROUNDS):
+        steps.append(f"""
+a{i} AS (SELECT x.r, x.v, MIN({distance} * 64 + c.c) AS best FROM kept x, c{i} c GROUP BY x.r, x.v),
+u{i} AS (
+  SELECT (best % 64)::INTEGER AS c, i, floor(SUM(v[i])::DOUBLE / COUNT(*))::BIGINT AS x FROM a{i}, range(1, {d + 1}) t(i) GROUP BY ALL
+),
+n{i} AS (SELECT c, list(x ORDER BY i) AS v FROM u{i} GROUP BY c),
+c{i + 1} AS (SELECT c{i}.c, COALESCE(n{i}.v, c{i}.v) AS v FROM c{i} LEFT JOIN n{i} USING (c))""")
+    last = f"c{centroids.ROUNDS}"
+    return f"""
+WITH {",".join(steps)},
+fin AS (SELECT x.r, x.vec_id, MIN({distance} * 64 + c.c) AS best FROM kept x, {last} c GROUP BY x.r, x.vec_id),
+out_ AS (SELECT vec_id, (best % 64)::INTEGER AS cluster, (best // 64)::BIGINT AS distance FROM fin)
+SELECT o.vec_id, o.cluster, o.distance, SUM(o.distance) OVER (PARTITION BY o.cluster)::BIGINT AS cluster_inertia,
+  SUM(o.distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(f.v, ',')) AS centroid_sha256
+FROM out_ o JOIN {last} f ON f.c = o.cluster
+"""
+
+
+@query("op12_vp_tree_kmeans", _clusters_sql())
+def _clusters(spark: SparkSession, folder: str) -> DataFrame:
+    assigned, final = centroids.cluster(table(spark, folder, "embeddings"))
+    return centroids.summary(assigned, final)
