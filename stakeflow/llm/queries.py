@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stakeflow.llm import (
     centroids, decontaminate, exact_topk, filter_audit, language_id, lm_scoring, mixture, near_dups, passage_dups, quality_pu, secret_ledger,
-    token_rollup,
+    token_rollup, toxicity,
 )
 from stakeflow.llm.scratch import scratch_path
 
@@ -332,3 +332,15 @@ FROM out_ o JOIN {last} f ON f.c = o.cluster
 def _clusters(spark: SparkSession, folder: str) -> DataFrame:
     assigned, final = centroids.cluster(table(spark, folder, "embeddings"))
     return centroids.summary(assigned, final)
+
+
+# --- 11: toxicity ------------------------------------------------------------------------
+
+@query("op11_toxic_segments")
+def _toxic(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = language_id.held_out(F.col("doc_id"), 4, 2)
+    found = toxicity.score(docs, toxicity.learn(docs, labels, ~held_out))
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
