@@ -217,7 +217,7 @@ def ez_staking_balances_daily(
 
 def published(stored: DataFrame) -> DataFrame:
     """The rows and columns of a stored balance table that readers see."""
-    return stored.filter(SHOWN).drop("active_raw", "pending_raw")
+    return stored.filter(SHOWN).drop("active_raw", "pending_raw", "source_modified_timestamp")
 
 
 def ez_validator_totals_daily(

@@ -192,20 +192,57 @@ def refresh_stake_balances(
     spark: SparkSession, delegations: DataFrame, undelegations: DataFrame,
     withdrawals: DataFrame, path: str, *, as_of: dt.date, days: int = 3,
 ) -> None:
-    """Stake balances: the last ``days`` stored days and everything after them.
+    """Stake balances: the last ``days`` stored days and everything after them, and pairs with late events.
 
-    The table keeps the exact running sums; ``balances.published`` is what readers see.
+    The table keeps the exact running sums; ``balances.published`` is what readers see. Where the facts carry
+    ``MARK`` (stored facts do), the table keeps the newest mark it has taken in. A fact stamped after that mark but
+    dated on or before the window is late: every (validator, delegator) pair with one is recomputed from the stored
+    sums of the day before the earliest late day, and other pairs keep their stored rows there. So a refresh equals a
+    rebuild however old a late event is, and the work is the late pairs' rows, not the whole history.
     """
+    facts = (delegations, undelegations, withdrawals)
+    marked = all(MARK in f.columns for f in facts)
+    newest = max(high_watermark(f, MARK, BEGINNING) for f in facts) if marked else None
     target = read_target(spark, path)
     since = window_start(target, "balance_date", days) if target is not None else None
     batch = balances.ez_staking_balances_daily(
-        delegations, undelegations, withdrawals, as_of=as_of, since=since,
-        previous=target if since else None, keep_raw=True,
+        *facts, as_of=as_of, since=since, previous=target if since else None, keep_raw=True,
     )
-    covered = _days(since + dt.timedelta(days=1), as_of) if since else ()
+    start = since
+    if since is not None and marked and MARK in target.columns:
+        late = late_pairs(facts, high_watermark(target, MARK, BEGINNING), since)
+        first = late.agg(F.min("first_day")).first()[0]
+        if first is not None:
+            start = first - dt.timedelta(days=1)
+            pairs = late.select(*balances.PAIR)
+            redone = balances.ez_staking_balances_daily(
+                *(f.join(pairs, balances.PAIR, "left_semi") for f in facts), as_of=as_of, since=start,
+                previous=target.join(pairs, balances.PAIR, "left_semi"), keep_raw=True,
+            )
+            unchanged = target.filter(
+                (F.col("balance_date") > F.lit(start)) & (F.col("balance_date") <= F.lit(since))
+            ).join(pairs, balances.PAIR, "left_anti").drop(MARK)
+            batch = batch.join(pairs, balances.PAIR, "left_anti").unionByName(redone).unionByName(
+                unchanged, allowMissingColumns=True
+            )
+    if newest is not None:
+        batch = batch.withColumn(MARK, F.lit(newest.isoformat(sep=" ")).cast("timestamp_ntz"))
+    covered = _days(start + dt.timedelta(days=1), as_of) if start else ()
     replace_partitions(spark, path, batch, "balance_date", ["validator_id"], covered=covered)
 
 
+def late_pairs(facts: Sequence[DataFrame], mark: dt.datetime, since: dt.date) -> DataFrame:
+    """(validator_id, delegator_address, first_day): pairs with facts stamped after ``mark`` but dated on or before ``since``.
+
+    One row per pair, aggregated on the map side, so a burst of late rows for one pair is one row.
+    """
+    stamp = F.lit(mark.isoformat(sep=" ")).cast("timestamp_ntz")
+    day = F.to_date("block_timestamp")
+    rows = [f.filter((F.col(MARK) > stamp) & (day <= F.lit(since))).select(*balances.PAIR, day.alias("day")) for f in facts]
+    stacked = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    return stacked.groupBy(*balances.PAIR).agg(F.min("day").alias("first_day"))
+
+
 def refresh_wallet_balances(
     spark: SparkSession, created: DataFrame, native_balances: DataFrame, prices: DataFrame,
     path: str, *, as_of: dt.date, days: int = 7,

@@ -288,3 +288,36 @@ def test_every_pending_day_is_requested(spark, chain):
 
     days = snapshots.pending_days(chain.max_blocks)
     assert snapshots.validator_requests(chain.created, days).count() == days.count() * chain.created.count()
+
+
+def test_late_events_beyond_the_window_equal_a_rebuild(spark, chain, path):
+    """Facts of day 3 arrive after the refresh of day 20 (window: days after 17)."""
+    import os
+
+    from verification.registry import LATE_FACTS, stamped_facts
+
+    facts = stamped_facts(chain)
+    assert sum(f.filter(LATE_FACTS).count() for f in facts) > 0
+    runs = (("2024-01-10 23:59:59", day(10)), ("2024-01-20 23:59:59", day(20)), ("9999-12-31 00:00:00", AS_OF))
+
+    def seen(upto):
+        return [f.filter(F.col(refresh.MARK) <= F.lit(upto).cast("timestamp_ntz")) for f in facts]
+
+    def files(folder, d):
+        return sorted(os.listdir(os.path.join(folder, f"balance_date={d.isoformat()}")))
+
+    for upto, as_of in runs[:2]:
+        refresh.refresh_stake_balances(spark, *seen(upto), path, as_of=as_of)
+    before = {d: files(path, d) for d in (day(1), day(2))}
+    refresh.refresh_stake_balances(spark, *seen(runs[2][0]), path, as_of=AS_OF)
+    full = balances.ez_staking_balances_daily(*facts, as_of=AS_OF)
+    same(balances.published(sinks.read_target(spark, path).drop(*AUDIT)), full)
+    # Days before the earliest late day keep their files.
+    assert {d: files(path, d) for d in before} == before
+    # Without marks the late facts are not noticed, and the stored table is wrong.
+    other = path + "-unmarked"
+    for upto, as_of in runs:
+        given = [f.drop(refresh.MARK) if upto.startswith("9999") else f for f in seen(upto)]
+        refresh.refresh_stake_balances(spark, *given, other, as_of=as_of)
+    stale = balances.published(sinks.read_target(spark, other).drop(*AUDIT))
+    assert stale.exceptAll(full.select(*stale.columns)).count() > 0
