@@ -155,13 +155,43 @@ def refresh_validator_addresses(spark: SparkSession, created: DataFrame, states:
 def pending_state_requests(
     spark: SparkSession, created: DataFrame, max_blocks: DataFrame, path: str, *, as_of: dt.date, back: int = 7,
 ) -> DataFrame:
-    """Validator state calls for the days of the last ``back`` that the stored table does not hold."""
-    target = read_target(spark, path)
-    held = None if target is None else target.select(F.col("snapshot_date").alias("block_date"))
-    days = missing_periods(
-        max_blocks, held, "block_date", earliest=as_of - dt.timedelta(days=back), before=as_of
+    """Validator state calls for every (validator, day) of the last ``back`` days that the stored table has no answer for.
+
+    The stored table of decoded states is the ledger of answered calls (empty answers are never stored), so the anti
+    join is at the grain of a call: a validator whose call failed is asked again on the next run, while the validators
+    answered on the same day are not asked twice.
+    """
+    return _unanswered(
+        snapshots.validator_requests(created, _recent_days(max_blocks, as_of, back)), read_target(spark, path)
+    )
+
+
+def pending_delegator_requests(
+    spark: SparkSession, created: DataFrame, max_blocks: DataFrame, path: str, *, as_of: dt.date, back: int = 7,
+) -> DataFrame:
+    """Self-delegation calls for every (validator, day) of the last ``back`` days without a stored answer."""
+    return _unanswered(
+        snapshots.delegator_requests(created, _recent_days(max_blocks, as_of, back)), read_target(spark, path)
     )
-    return snapshots.validator_requests(created, snapshots.pending_days(days))
+
+
+def _recent_days(max_blocks: DataFrame, as_of: dt.date, back: int) -> DataFrame:
+    start = as_of - dt.timedelta(days=back)
+    day = F.col("block_date")
+    return snapshots.pending_days(max_blocks.filter((day >= F.lit(start)) & (day < F.lit(as_of))))
+
+
+def _unanswered(requests: DataFrame, answered: DataFrame | None) -> DataFrame:
+    """Requests whose (validator, day) has no stored answer; the answers are read for the days asked only."""
+    if answered is None:
+        return requests
+    keys = ["validator_id", "snapshot_date"]
+    low, high = F.lit(BEGINNING.date()), F.lit(dt.date(9999, 12, 31))
+    bounds = requests.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
+    if bounds[0] is not None:
+        low, high = F.lit(bounds[0]), F.lit(bounds[1])
+    held = answered.filter(F.col("snapshot_date").between(low, high)).select(*keys).distinct()
+    return requests.join(held, keys, "left_anti")
 
 
 def refresh_miner_ranges(

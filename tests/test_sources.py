@@ -321,3 +321,41 @@ def test_late_events_beyond_the_window_equal_a_rebuild(spark, chain, path):
         refresh.refresh_stake_balances(spark, *given, other, as_of=as_of)
     stale = balances.published(sinks.read_target(spark, other).drop(*AUDIT))
     assert stale.exceptAll(full.select(*stale.columns)).count() > 0
+
+
+def test_unanswered_calls_are_asked_again(spark, chain, tmp_path):
+    """Day 26 answered for all validators but 3, day 28 for none: exactly those calls are pending."""
+    from verification.registry import HOLE
+
+    for kind, store, pending, responses in (
+        ("states", lambda r, p: refresh.refresh_validator_states(spark, r, p), refresh.pending_state_requests,
+         chain.validator_responses),
+        ("self", lambda r, p: refresh.refresh_delegator_states(spark, r, chain.prices, p), refresh.pending_delegator_requests,
+         chain.delegator_responses),
+    ):
+        target = str(tmp_path / kind)
+        store(responses.filter(f"NOT ({HOLE})"), target)
+        asked = {(r["validator_id"], r["snapshot_date"]) for r in
+                 pending(spark, chain.created, chain.max_blocks, target, as_of=AS_OF, back=7).collect()}
+        never = {(r["validator_id"], r["snapshot_date"]) for r in
+                 pending(spark, chain.created, chain.max_blocks, str(tmp_path / f"{kind}-none"), as_of=AS_OF, back=7).collect()}
+        held = {(r["validator_id"], r["snapshot_date"]) for r in sinks.read_target(spark, target).collect()}
+        held_all = {(r["validator_id"], r["snapshot_date"]) for r in
+                    (snapshots_of(spark, responses, kind, chain)).collect()}
+        missing = {k for k in held_all if k[1] == day(28) or k == (3, day(26))}
+        assert missing and missing <= asked
+        assert not asked & held
+        assert asked == never - held
+        # Once the missing answers arrive, only calls that never get an answer stay pending.
+        store(responses, target)
+        again = {(r["validator_id"], r["snapshot_date"]) for r in
+                 pending(spark, chain.created, chain.max_blocks, target, as_of=AS_OF, back=7).collect()}
+        assert again == never - held_all and not again & missing
+
+
+def snapshots_of(spark, responses, kind, chain):
+    from stakeflow.plans import snapshots
+
+    if kind == "states":
+        return snapshots.snapshot_get_validator(responses)
+    return snapshots.fact_validator_self_delegation_snapshots(responses, chain.prices)

@@ -343,6 +343,31 @@ query("D2_delegator_requests", o.statement(
     + f" AS request FROM created CROSS JOIN {PENDING}"
 ))(lambda c: snapshots.delegator_requests(c.created, _pending(c)))
 
+# One validator is not answered on the 26th, nobody on the 28th: both must be asked again, nothing else.
+HOLE = "(validator_id = 3 AND snapshot_date = DATE '2024-01-26') OR snapshot_date = DATE '2024-01-28'"
+RECENT = (
+    "(SELECT CAST(ts AS DATE) AS d, MAX(event_id) AS b FROM events "
+    "WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-24' AND DATE '2024-01-30' GROUP BY 1)"
+)
+
+
+def _answered(c: SampleChain, purpose: str, store: Callable[[str, str], None]) -> str:
+    path = shared_dir(c.spark, purpose)
+    store(f"NOT ({HOLE})", path)
+    return path
+
+
+query("D1_pending_pairs", o.statement(
+    "SELECT validator_id, d AS snapshot_date, b AS snapshot_block, "
+    f"'0x' || lower(to_hex(b)) AS block_hex, {_CALL1} AS calldata, "
+    + _body(_CALL1, "b", "'getValidator-' || CAST(validator_id AS VARCHAR) || '-' || CAST(d AS VARCHAR)")
+    + f" AS request FROM created CROSS JOIN {RECENT} p WHERE NOT EXISTS (SELECT 1 FROM decoded x "
+    f"WHERE x.validator_id = created.validator_id AND x.snapshot_date = p.d AND NOT ({HOLE}))"
+))(lambda c: refresh.pending_state_requests(
+    c.spark, c.created, c.max_blocks, _answered(c, "answered-states", lambda seen, path: refresh.refresh_validator_states(
+        c.spark, c.validator_responses.filter(seen), path)), as_of=AS_OF, back=7,
+))
+
 _CALL3 = f"'0xde66a368' || {_word('start_index')}"
 query("D3_set_requests", o.statement(
     "SELECT epoch, epoch_start_block, start_index, "
