@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stakeflow.llm import decontaminate, language_id, mixture, near_dups, secret_ledger
-from stakeflow.llm.scratch import scratch_path, written
+from stakeflow.llm.scratch import scratch_path, small_batches, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,5 +62,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        # Python workers take a few thousand documents at a time, however long they are.
+        with small_batches(spark):
+            docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

@@ -23,6 +23,7 @@ from stakeflow.llm.lattice import Encoder, Lattice, groups
 
 SMOOTHING = 0.1
 UNKNOWN = "und"
+GROUP_BYTES = 4 << 20  # of text whose distinct words are held and scored together
 
 
 def held_out(key: Column, parts: int, part: int) -> Column:
@@ -36,7 +37,7 @@ def _count_batches(made):
         encoder, size = Encoder(made.value), made.value["count"]
         for batch in batches:
             langs = np.array(batch.column(1).to_pylist(), object)
-            for a, b, words in groups(batch.column(0)):
+            for a, b, words in groups(batch.column(0), GROUP_BYTES):
                 pieces, count = encoder.pieces(words.arrow().to_pylist())
                 names, own = np.unique(langs[a:b].astype(str), return_inverse=True)
                 times = np.bincount(own[words.doc] * len(words) + words.place, minlength=len(names) * len(words))
@@ -81,7 +82,7 @@ def _score_batches(made, learned, keys: int, at: int):
         labels = np.array([*names, UNKNOWN], object)
         for batch in batches:
             letter = np.array(batch.column(batch.num_columns - 1), bool)
-            for a, b, words in groups(batch.column(at)):
+            for a, b, words in groups(batch.column(at), GROUP_BYTES):
                 best = np.full(b - a, len(names))
                 score = np.zeros(b - a)
                 if names:
