@@ -8,7 +8,7 @@ from stakeflow.operators.aggregates import (
 )
 from stakeflow.operators.asof import asof_join
 from stakeflow.operators.islands import islands
-from stakeflow.operators.ordered import fill_last, next_values, prefix_sums
+from stakeflow.operators.ordered import DEPTH, Depth, fill_last, next_values, prefix_sums
 from stakeflow.operators.series import (
     densify,
     forward_fill,
@@ -18,6 +18,8 @@ from stakeflow.operators.series import (
 )
 
 __all__ = [
+    "DEPTH",
+    "Depth",
     "asof_join",
     "daily_last",
     "densify",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from stakeflow.operators.ordered import SPAN, span_of
+from stakeflow.operators.ordered import SPAN, Depth, with_spans
 
 
 def islands(
@@ -13,7 +13,7 @@ def islands(
     order: str,
     value: str,
     ts: str,
-    width: int | None = None,
+    width: int | Depth | None = None,
     end: str | None = None,
     end_ts: str | None = None,
     count: str | None = None,
@@ -36,7 +36,7 @@ def islands(
         F.col(end_ts or ts).alias("end_ts"),
         (F.col(count) if count else F.lit(1)).cast("bigint").alias("n"),
     )
-    rows = rows.withColumn(SPAN, span_of(rows, "start", width))
+    rows = with_spans(rows, [key], "start", width)
 
     inside = Window.partitionBy(key, SPAN).orderBy("start")
     changed = F.when(

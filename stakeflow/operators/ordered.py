@@ -8,11 +8,17 @@ span inherits from its neighbours, and that row is put in front of (or behind)
 the span's own rows. The wide rows are shuffled once, by (key, span).
 
 Spans only decide how the work is cut; results do not depend on their width.
+
+Spans are cut by a fixed width of the ordering column (an hour, 32 days, a million units) or, with
+``width=Depth(rows)``, by the data: keys of more than ``SPAN_ROWS`` rows get equi-depth cut points from an
+approximate quantile sketch of their ordering column, so a burst of one key inside one hour is still
+spread over tasks of about ``SPAN_ROWS`` rows. Equal ordering values always share a span.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -20,6 +26,9 @@ SPAN = "_span"
 EDGE = "_edge"
 
 HOUR_MICROS = 3_600_000_000
+SPAN_ROWS = 1_000_000  # rows of a span cut by depth
+CUTS = 256  # quantiles sketched per hot key; spans of one key at most this many
+SMALL_KEYS = 10_000  # hot keys whose cut points are broadcast; more are joined
 
 
 def span_of(df: DataFrame, order: str, width: int | None = None) -> Column:
@@ -41,6 +50,58 @@ def span_of(df: DataFrame, order: str, width: int | None = None) -> Column:
     raise TypeError(f"cannot cut {kind.simpleString()} column {order!r} into spans")
 
 
+def _position(df: DataFrame, order: str) -> Column:
+    """A number that does not decrease with ``order``."""
+    kind = df.schema[order].dataType
+    if isinstance(kind, T.TimestampNTZType):
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{order}`)").cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(F.col(order)).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.datediff(F.col(order), F.lit("1970-01-01").cast("date")).cast("double")
+    if isinstance(kind, T.NumericType):
+        return F.col(order).cast("double")
+    raise TypeError(f"cannot cut {kind.simpleString()} column {order!r} into spans")
+
+
+def depth_spans(df: DataFrame, keys: Sequence[str], order: str, rows: int = SPAN_ROWS) -> DataFrame:
+    """``df`` with ``SPAN``: 0 for keys of at most ``rows`` rows, else equi-depth spans of about ``rows`` rows.
+
+    Rows are counted per key with map-side combine; only keys above ``rows`` are sketched, so there are at
+    most (table rows / ``rows``) sketches. A key's cut points are every k-th of ``CUTS`` quantiles, k chosen
+    for spans of about ``rows``; a row's span is the number of cut points below its value.
+    """
+    at = _position(df, order)
+    hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows)
+    few = hot.count() <= SMALL_KEYS
+    chosen = F.broadcast(hot) if few else hot
+    fractions = [i / CUTS for i in range(1, CUTS)]
+    sketch = df.join(chosen, list(keys)).groupBy(*keys).agg(
+        F.percentile_approx(at, fractions, 10_000).alias("_q"), F.first("_n").alias("_n")
+    )
+    step = F.greatest(F.lit(1), F.floor(F.lit(CUTS * rows) / F.col("_n")))
+    cuts = sketch.select(*keys, F.array_distinct(F.filter("_q", lambda q, i: (i + 1) % step == 0)).alias("_cuts"))
+    spanned = df.join(F.broadcast(cuts) if few else cuts, list(keys), "left")
+    below = F.size(F.filter("_cuts", lambda c: c < at))
+    return spanned.withColumn(SPAN, F.when(F.col("_cuts").isNull(), 0).otherwise(below).cast("bigint")).drop("_cuts")
+
+
+class Depth(NamedTuple):
+    """Spans cut by the data, of about ``rows`` rows each."""
+
+    rows: int = SPAN_ROWS
+
+
+DEPTH = Depth()
+
+
+def with_spans(df: DataFrame, keys: Sequence[str], order: str, width: int | Depth | None) -> DataFrame:
+    """``df`` with ``SPAN``, by a fixed width of ``order`` or, for a ``Depth``, by the data."""
+    if isinstance(width, Depth):
+        return depth_spans(df, keys, order, width.rows)
+    return df.withColumn(SPAN, span_of(df, order, width))
+
+
 def _rank_of(order: str, tie: Sequence[str]) -> Column:
     return F.struct(F.col(order), *[F.col(c) for c in tie])
 
@@ -61,10 +122,10 @@ def fill_last(
     order: str,
     cols: Sequence[str],
     tie: Sequence[str] = (),
-    width: int | None = None,
+    width: int | Depth | None = None,
 ) -> DataFrame:
     """Replace each of ``cols`` by its last non-NULL value up to and including the row."""
-    spanned = df.withColumn(SPAN, span_of(df, order, width))
+    spanned = with_spans(df, keys, order, width)
     rank = _rank_of(order, tie)
     summary = spanned.groupBy(*keys, SPAN).agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), rank)).alias(c) for c in cols]
@@ -90,10 +151,10 @@ def prefix_sums(
     order: str,
     cols: dict[str, str],
     tie: Sequence[str] = (),
-    width: int | None = None,
+    width: int | Depth | None = None,
 ) -> DataFrame:
     """Add running sums ``{new: source}`` up to and including each row."""
-    spanned = df.withColumn(SPAN, span_of(df, order, width))
+    spanned = with_spans(df, keys, order, width)
     sources = sorted(set(cols.values()))
     summary = spanned.groupBy(*keys, SPAN).agg(*[F.sum(src).alias(src) for src in sources])
     before = Window.partitionBy(*keys).orderBy(SPAN).rowsBetween(Window.unboundedPreceding, -1)
@@ -117,10 +178,10 @@ def next_values(
     order: str,
     cols: dict[str, str],
     tie: Sequence[str] = (),
-    width: int | None = None,
+    width: int | Depth | None = None,
 ) -> DataFrame:
     """Add ``{new: source}`` read from the following row of the key (NULL on the last)."""
-    spanned = df.withColumn(SPAN, span_of(df, order, width))
+    spanned = with_spans(df, keys, order, width)
     rank = _rank_of(order, tie)
     sources = sorted(set(cols.values()))
     summary = spanned.groupBy(*keys, SPAN).agg(

@@ -169,3 +169,52 @@ def test_latest_daily_outer_and_expectation(spark):
     zero = spark.createDataFrame([("g", 0.0, 10)], "g string, w double, n int")
     only = rows(ops.weighted_expectation(zero, ["g"], "w", "n"))[0]
     assert only["weight_share"] is None and only["expected"] is None
+
+
+def test_depth_spans_split_a_burst_evenly(spark):
+    """All rows of one key inside one hour: fixed spans give one task, depth spans about equal ones."""
+    from stakeflow.operators import ordered
+
+    burst = spark.range(20_000).select(
+        F.when(F.col("id") % 10 < 8, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 7).cast("string"))).alias("key"),
+        (F.lit("2024-01-05 10:00:00").cast("timestamp_ntz") + F.make_interval(secs=(F.col("id") % 3000) / 1000)).alias("t"),
+        F.col("id").alias("n"), (F.col("id") % 13).cast("double").alias("x"),
+    )
+    assert burst.select(ordered.span_of(burst, "t").alias("s")).filter("key = 'hot'").distinct().count() <= 1
+    spanned = ordered.depth_spans(burst, ["key"], "t", rows=500)
+    sizes = sorted(r["c"] for r in spanned.filter("key = 'hot'").groupBy(ordered.SPAN).agg(F.count("*").alias("c")).collect())
+    assert len(sizes) >= 16 and sizes[-1] < 2 * sizes[len(sizes) // 2]
+    # Equal values share a span.
+    assert spanned.groupBy("key", "t").agg(F.countDistinct(ordered.SPAN).alias("d")).filter("d > 1").count() == 0
+    plain = Window.partitionBy("key").orderBy("t", "n").rowsBetween(Window.unboundedPreceding, 0)
+    same(
+        ops.prefix_sums(burst, ["key"], "t", {"s": "x"}, tie=["n"], width=ordered.Depth(500)),
+        burst.withColumn("s", F.sum("x").over(plain)),
+    )
+    same(
+        ops.fill_last(burst.withColumn("x", F.when(F.col("n") % 4 == 0, F.col("x"))), ["key"], "t", ["x"], tie=["n"], width=ordered.Depth(500)),
+        burst.withColumn("x", F.last(F.when(F.col("n") % 4 == 0, F.col("x")), ignorenulls=True).over(plain)),
+    )
+
+
+@pytest.mark.parametrize("column", ["n", "value"])
+def test_depth_spans_on_the_skewed_table(skewed, column):
+    from stakeflow.operators import ordered
+
+    if column == "value":
+        with pytest.raises(TypeError):
+            ordered.depth_spans(skewed, ["key"], column, rows=50)
+        return
+    same(
+        ops.islands(skewed.withColumn("t", F.col("n")), "key", "n", "value", "t", width=ordered.Depth(50)),
+        ops.islands(skewed.withColumn("t", F.col("n")), "key", "n", "value", "t", width=10_000),
+    )
+    same(
+        ops.prefix_sums(skewed, ["key"], "n", {"s": "x"}, width=ordered.Depth(50)),
+        skewed.withColumn("s", F.sum("x").over(UP("key"))),
+    )
+    same(
+        ops.next_values(skewed, ["key"], "n", {"m": "n", "v": "value"}, width=ordered.Depth(50)),
+        skewed.withColumns({"m": F.lead("n").over(Window.partitionBy("key").orderBy("n")),
+                            "v": F.lead("value").over(Window.partitionBy("key").orderBy("n"))}),
+    )

@@ -486,6 +486,13 @@ query("J8_asof_join", (
     ["user_id"], "ts", "ts", {"click_id": "event_id", "click_value": "value"},
 ))
 
+# The same scans with spans cut by the data: keys of more than 20 rows are split at sketched quantiles.
+query("J8_asof_join_by_depth", ORACLES["J8_asof_join"])(lambda c: ops.asof_join(
+    c.events.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "ts"),
+    c.events.filter(F.col("event_type") == "click").select("event_id", "user_id", "ts", "value"),
+    ["user_id"], "ts", "ts", {"click_id": "event_id", "click_value": "value"}, width=ops.Depth(20),
+))
+
 query("J8_asof_join_inclusive", (
     "SELECT l.l_partkey, l.l_shipdate, l.n, s.ship_price FROM (SELECT l_partkey, l_shipdate, COUNT(*) AS n "
     "FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2) l ASOF LEFT JOIN (SELECT l_partkey, l_shipdate, "
@@ -539,6 +546,14 @@ query("W12_prefix_sums", (
     c.events.select("event_id", "user_id", "ts", "cents"), ["user_id"], "ts", {"running": "cents"}
 ).select("event_id", "user_id", "running"))
 
+query("W12_prefix_sums_by_depth", ORACLES["W12_prefix_sums"])(lambda c: ops.prefix_sums(
+    c.events.select("event_id", "user_id", "ts", "cents"), ["user_id"], "ts", {"running": "cents"}, width=ops.Depth(20)
+).select("event_id", "user_id", "running"))
+
+query("W2_islands_by_depth", ORACLES["W2_islands"])(lambda c: ops.islands(
+    c.table("events"), "user_id", "event_id", "event_type", "ts", width=ops.Depth(20)
+))
+
 query("W13_running_balance", (
     "SELECT event_id, user_id, CASE WHEN abs(s) < 0.0001 THEN 0 ELSE s END AS balance FROM ("
     "SELECT event_id, user_id, CAST(CAST(SUM(CASE WHEN event_type = 'purchase' THEN 1 WHEN event_type = 'click' "
