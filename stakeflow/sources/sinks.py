@@ -260,11 +260,45 @@ def merge_upsert(
     spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
     update_cols: Sequence[str], cluster_by: Sequence[str] = (),
 ) -> None:
-    """Merge on a composite key; ``inserted_timestamp`` of matched rows is kept."""
+    """Merge on a composite key; ``inserted_timestamp`` of matched rows is kept.
+
+    Only the files that hold a key of the batch are rewritten. They are found by a scan of the key columns with
+    ``_metadata.file_path``, semi-joined with the batch's keys, so what reaches the driver is a list of file names.
+    Their rows are merged with the batch and written as new files, and then the old files are deleted; every
+    other file keeps its name and contents. Rows of the batch with a new key go into the new files.
+    """
     target = read_target(spark, path)
     stamped = with_audit(batch)
     if target is None:
         swap_in(stamped, path, cluster_by)
-    else:
-        updates = [*update_cols, "modified_timestamp"]
-        swap_in(merge_rows(target, stamped, keys, updates), path, cluster_by)
+        return
+    staged_path = f"{path.rstrip('/')}__batch_{uuid.uuid4().hex}"
+    merged_path = f"{path.rstrip('/')}__merged_{uuid.uuid4().hex}"
+    stamped.write.parquet(staged_path)
+    try:
+        staged = spark.read.parquet(staged_path)
+        touched = [r[0] for r in target.select(*keys, F.col("_metadata.file_path").alias("_file")).join(
+            staged.select(*keys).distinct(), list(keys), "left_semi"
+        ).select("_file").distinct().collect()]
+        old = spark.read.schema(target.schema).parquet(*touched) if touched else target.limit(0)
+        merged = merge_rows(old, staged, keys, [*update_cols, "modified_timestamp"])
+        write_clustered(merged, merged_path, None, cluster_by)
+        fs, live = _fs(spark, path)
+        made, _ = _fs(spark, merged_path)
+        for status in made.listStatus(_fs(spark, merged_path)[1]):
+            name = status.getPath().getName()
+            if name.startswith(("_", ".")):
+                continue
+            moved = _fs(spark, f"{path.rstrip('/')}/merged-{uuid.uuid4().hex}-{name}")[1]
+            if not fs.rename(status.getPath(), moved):
+                raise OSError(f"cannot move {name} into {path}")
+        for file in touched:
+            gone, p = _fs(spark, file)
+            gone.delete(p, False)
+        if len(merged.columns) > len(target.columns):
+            _keep_schema(merged, path)
+        spark.catalog.refreshByPath(path)
+    finally:
+        for leftover in (staged_path, merged_path):
+            fs, p = _fs(spark, leftover)
+            fs.delete(p, True)

@@ -359,3 +359,22 @@ def snapshots_of(spark, responses, kind, chain):
     if kind == "states":
         return snapshots.snapshot_get_validator(responses)
     return snapshots.fact_validator_self_delegation_snapshots(responses, chain.prices)
+
+
+def test_merge_rewrites_only_files_with_a_key_of_the_batch(spark, path, tmp_path):
+    import os
+
+    first = spark.createDataFrame([(k, day(1 + k % 3), k) for k in range(300)], "k int, d date, v int")
+    sinks.merge_upsert(spark, path, first.repartition(6, "k"), ["k"], ["v"])
+    files = lambda: sorted(f for f in os.listdir(path) if f.endswith(".parquet"))
+    before = files()
+    holder = {r["k"]: r["f"] for r in sinks.read_target(spark, path).select("k", F.col("_metadata.file_path").alias("f")).collect()}
+    batch = spark.createDataFrame([(7, day(9), 70), (1000, day(9), 1)], "k int, d date, v int")
+    sinks.merge_upsert(spark, path, batch, ["k"], ["v"])
+    after = files()
+    gone = {os.path.basename(holder[7].replace("file:", ""))}
+    assert set(before) - set(after) == gone
+    assert len(set(after) - set(before)) >= 1
+    found = {r["k"]: (r["d"], r["v"]) for r in sinks.read_target(spark, path).collect()}
+    assert len(found) == 301 and found[7] == (day(2), 70) and found[1000] == (day(9), 1) and found[8] == (day(3), 8)
+    assert [p.name for p in tmp_path.iterdir()] == ["table"]
