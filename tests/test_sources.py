@@ -378,3 +378,26 @@ def test_merge_rewrites_only_files_with_a_key_of_the_batch(spark, path, tmp_path
     found = {r["k"]: (r["d"], r["v"]) for r in sinks.read_target(spark, path).collect()}
     assert len(found) == 301 and found[7] == (day(2), 70) and found[1000] == (day(9), 1) and found[8] == (day(3), 8)
     assert [p.name for p in tmp_path.iterdir()] == ["table"]
+
+
+def test_all_checks_of_a_table_in_one_scan(spark, tmp_path):
+    table = str(tmp_path / "orders")
+    df = spark.createDataFrame(
+        [(1, 10, day(1), "a"), (1, 11, day(2), None), (2, None, day(2), "b"), (3, 11, day(2), "c"), (4, 12, None, "d")],
+        "k long, c long, d date, s string",
+    )
+    df.write.parquet(table)
+    stored = spark.read.parquet(table)
+    found = checks.all_checks(
+        stored, "t", not_null=["k", "c", "d", "s"], unique=[["k"], ["c", "d"], ["s"]], recent={"d": 2}, as_of=day(9),
+    )
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    got = {(r["check_name"], r["column_name"], r["n"]) for r in found.collect()}
+    assert got == {
+        ("not_null", "c", 1), ("not_null", "d", 1), ("not_null", "s", 1),
+        ("unique", "k", 2), ("unique", "c,d", 2), ("recency", "d", 5),
+    }
+    assert checks.unique(stored, "k").count() == 1 and checks.not_null(stored, "c").count() == 1
+    fresh = checks.all_checks(stored, "t", recent={"d": 10}, as_of=day(9))
+    assert fresh.count() == 0

@@ -916,3 +916,42 @@ def _stream(c: SampleChain) -> DataFrame:
     return sinks.read_target(c.spark, f"{root}/target").drop(
         "inserted_timestamp", "modified_timestamp", "block_date", refresh.MARK
     )
+
+
+ORDER_CHECKS = dict(
+    not_null=["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_totalprice"],
+    unique=[["o_orderkey"], ["o_custkey", "o_orderdate"]],
+    recent={"o_orderdate": 2},
+)
+
+
+def _checks_sql() -> str:
+    parts = [
+        f"SELECT 'not_null' AS check_name, '{c}' AS column_name, (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM orders "
+        f"WHERE {c} IS NULL)) AS failures, (SELECT COUNT(*) FROM orders WHERE {c} IS NULL) AS rows_"
+        for c in ORDER_CHECKS["not_null"]
+    ]
+    for cols in ORDER_CHECKS["unique"]:
+        k = ", ".join(cols)
+        parts.append(
+            f"SELECT 'unique', '{','.join(cols)}', COUNT(*), COALESCE(SUM(n), 0) FROM "
+            f"(SELECT {k}, COUNT(*) AS n FROM orders GROUP BY {k} HAVING COUNT(*) > 1)"
+        )
+    for c, days in ORDER_CHECKS["recent"].items():
+        parts.append(
+            f"SELECT 'recency', '{c}', 1, COUNT(*) FROM orders "
+            f"HAVING COUNT(*) > 0 AND COALESCE(MAX({c}) < TIMESTAMP '2001-08-05 00:00:00' - INTERVAL {days} DAY, true)"
+        )
+    return (
+        "SELECT 'orders' AS table_name, check_name, column_name, CAST(failures AS BIGINT) AS failures, "
+        "CAST(rows_ AS BIGINT) AS \"rows\" FROM (" + " UNION ALL ".join(parts) + ") WHERE failures > 0"
+    )
+
+
+@query("C5_table_checks", _checks_sql())
+def _table_checks(c: SampleChain) -> DataFrame:
+    """Eight checks of ``orders`` from one scan, counted per check."""
+    found = checks.all_checks(c.table("orders"), "orders", as_of=dt.date(2001, 8, 5), **ORDER_CHECKS)
+    return found.groupBy("table_name", "check_name", "column_name").agg(
+        F.count("*").alias("failures"), F.sum("n").alias("rows")
+    )
