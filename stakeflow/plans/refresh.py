@@ -22,7 +22,9 @@ from stakeflow.plans.events import FACTS, fact
 from stakeflow.sources.increments import (
     BEGINNING, high_watermark, missing_periods, since_watermark, window_start,
 )
-from stakeflow.sources.sinks import read_target, replace_partitions, swap_in, upsert_replace
+from stakeflow.session import shared_dir
+from stakeflow.sources.sinks import read_target, remove, replace_partitions, swap_in, upsert_replace
+from stakeflow.sources.tables import staking_events
 
 MARK = "source_modified_timestamp"
 REWARD_MARK = "reward_source_timestamp"
@@ -34,6 +36,31 @@ def refresh_event_fact(spark: SparkSession, logs: DataFrame, path: str, name: st
     store_event_fact(spark, fact(fresh, name, keep=[MARK]), path, name)
 
 
+def refresh_event_facts(spark: SparkSession, logs: DataFrame, paths: dict[str, str]) -> None:
+    """Several event facts from one scan of the logs.
+
+    One watermark serves them all: the oldest of the targets' own, so no target misses a row (a target that
+    is ahead gets rows it holds, which its upsert by key leaves as they are). The logs newer than it are read
+    once and staged on shared storage in one folder per event; each fact then reads only its own folder.
+    """
+    marks = [high_watermark(read_target(spark, path), MARK, BEGINNING) for path in paths.values()]
+    fresh = with_mark(logs).filter(F.col(MARK) > F.lit(min(marks).isoformat(sep=" ")).cast("timestamp_ntz"))
+    fan_out_facts(spark, fresh, paths)
+
+
+def fan_out_facts(spark: SparkSession, rows: DataFrame, paths: dict[str, str]) -> None:
+    """Stage ``rows`` (logs with ``MARK``) once by event, then store each fact from its own folder."""
+    staged = shared_dir(spark, "event-batch")
+    wanted = [FACTS[name][0] for name in paths]
+    staking_events(rows).filter(F.col("event_name").isin(wanted)).write.partitionBy("event_name").parquet(staged)
+    try:
+        stored = spark.read.parquet(staged)
+        for name, path in paths.items():
+            store_event_fact(spark, fact(stored.filter(F.col("event_name") == FACTS[name][0]), name, keep=[MARK]), path, name)
+    finally:
+        remove(spark, staged)
+
+
 def with_mark(logs: DataFrame) -> DataFrame:
     return logs.withColumn(MARK, F.col("modified_timestamp"))
 

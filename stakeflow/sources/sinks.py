@@ -80,6 +80,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of shared storage, if it is there."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p)

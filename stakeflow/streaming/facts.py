@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from stakeflow.plans.events import fact
-from stakeflow.plans.refresh import MARK, store_event_fact, with_mark
+from stakeflow.plans.refresh import MARK, fan_out_facts, store_event_fact, with_mark
 from stakeflow.sources.contracts import CONTRACTS
 
 
@@ -42,3 +42,15 @@ def run_available(
 ) -> None:
     """Process everything that has arrived and stop."""
     start_fact(log_stream(spark, source, max_files), target, name, checkpoint).awaitTermination()
+
+
+def start_facts(logs: DataFrame, targets: dict[str, str], checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Upsert several event facts from one stream: each micro-batch is read once and fanned out by event."""
+
+    def write(batch: DataFrame, _: int) -> None:
+        fan_out_facts(batch.sparkSession, batch, targets)
+
+    writer = with_mark(logs).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()

@@ -401,3 +401,25 @@ def test_all_checks_of_a_table_in_one_scan(spark, tmp_path):
     assert checks.unique(stored, "k").count() == 1 and checks.not_null(stored, "c").count() == 1
     fresh = checks.all_checks(stored, "t", recent={"d": 10}, as_of=day(9))
     assert fresh.count() == 0
+
+
+def test_nine_facts_from_one_scan_and_one_stream(spark, chain, tmp_path, monkeypatch):
+    from stakeflow.streaming.facts import log_stream, start_facts
+
+    source = str(tmp_path / "logs")
+    chain.event_logs.write.parquet(source)
+    logs = spark.read.parquet(source)
+    staged = []
+    real = refresh.staking_events
+    monkeypatch.setattr(refresh, "staking_events", lambda df: staged.append(real(df)) or staged[-1])
+    paths = {name: str(tmp_path / name) for name in events.FACTS}
+    for upto in ("2024-01-15 00:00:00", "9999-12-31 00:00:00"):
+        refresh.refresh_event_facts(spark, logs.filter(F.col("modified_timestamp") < F.lit(upto).cast("timestamp_ntz")), paths)
+    assert len(staged) == 2
+    assert all(df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1 for df in staged)
+    streamed = {name: str(tmp_path / f"s-{name}") for name in ("delegations", "withdrawals", "epoch_changes")}
+    start_facts(log_stream(spark, source), streamed, str(tmp_path / "state")).awaitTermination()
+    for name in events.FACTS:
+        same(sinks.read_target(spark, paths[name]).drop(*AUDIT, refresh.MARK, "block_date"), chain.fact(name))
+    for name, path in streamed.items():
+        same(spark.read.parquet(path).drop(*AUDIT, refresh.MARK, "block_date"), chain.fact(name))

@@ -267,6 +267,31 @@ for _id, _name, _rel in [
     )
 
 
+_EVENT_FACTS = {
+    "validators_created": "created", "delegations": "delegations", "undelegations": "undelegations",
+    "withdrawals": "withdrawals", "validator_rewards": "rewards", "rewards_claimed": "claims",
+    "validator_commission_changes": "commission_changes", "validator_status_changes": "status_changes",
+    "epoch_changes": "epoch_changes",
+}
+
+
+@query("E10_facts_one_scan", o.statement(" UNION ALL ".join(
+    f"SELECT '{name}' AS fact, {events.FACTS[name][1]} AS fact_id, block_number FROM {rel}" for name, rel in _EVENT_FACTS.items()
+)))
+def _facts_one_scan(c: SampleChain) -> DataFrame:
+    """All nine facts stored by two runs that each scan the logs once."""
+    paths = {name: shared_dir(c.spark, f"fact-{name}") for name in _EVENT_FACTS}
+    for upto in ("2024-01-15 00:00:00", "9999-12-31 00:00:00"):
+        seen = c.event_logs.filter(F.col("modified_timestamp") < F.lit(upto).cast("timestamp_ntz"))
+        refresh.refresh_event_facts(c.spark, seen, paths)
+    found = [sinks.read_target(c.spark, path).select(F.lit(name).alias("fact"), F.col(events.FACTS[name][1]).alias("fact_id"),
+                                                     "block_number") for name, path in paths.items()]
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 @query("P1_variant_fields", o.statement(
     f"SELECT event_id, vid AS validator_id, {o.raw('cents')} AS amount_raw, "
     "CAST(NULL AS BIGINT) AS wallet_number FROM act"
