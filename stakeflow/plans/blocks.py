@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stakeflow.functions.keys import surrogate_key
 from stakeflow.functions.numeric import (
@@ -171,16 +171,33 @@ def fact_block_priority_fees_increment(
 ) -> DataFrame:
     """Whole recomputed rows for every block with a transaction newer than ``since`` or a new reward.
 
-    The touched block range enters as literals and prunes the three scans.
+    The touched blocks enter the scans as a list of their days and as their block range, both literals: an old
+    late transaction next to today's adds one day to read, not every day in between. The blocks themselves then
+    meet the sources in a semi join, which the planner can turn into a runtime filter.
     """
     mark = F.lit(since.isoformat(sep=" ")).cast("timestamp_ntz")
-    touched = transactions.filter(F.col("modified_timestamp") > mark).select("block_number")
+    touched = transactions.filter(F.col("modified_timestamp") > mark).select("block_number", "block_timestamp")
     if new_rewards is not None:
-        touched = touched.unionByName(producer_rewards(new_rewards).select("block_number"))
-    low, high = touched.agg(F.min("block_number"), F.max("block_number")).first()
-    within = F.col("block_number").between(F.lit(low), F.lit(high))
-    again = transactions.filter(within).join(touched.distinct(), "block_number", "left_semi")
-    return fact_block_priority_fees(again, blocks.filter(within), rewards.filter(within))
+        touched = touched.unionByName(producer_rewards(new_rewards).select("block_number", "block_timestamp"))
+    # One row per day: at most the days of the history, whatever the number of transactions.
+    found = touched.groupBy(_day(touched).alias("day")).agg(
+        F.min("block_number").alias("low"), F.max("block_number").alias("high")
+    ).collect()
+    days = [r["day"] for r in found]
+    low, high = min((r["low"] for r in found), default=None), max((r["high"] for r in found), default=None)
+
+    def within(df: DataFrame) -> DataFrame:
+        dated = "block_date" in df.columns or "block_timestamp" in df.columns
+        inside = F.col("block_number").between(F.lit(low), F.lit(high))
+        return df.filter(inside & _day(df).isin(days) if dated else inside).join(blocks_touched, "block_number", "left_semi")
+
+    blocks_touched = touched.select("block_number").distinct()
+    return fact_block_priority_fees(within(transactions), within(blocks), within(rewards))
+
+
+def _day(df: DataFrame) -> Column:
+    # Stored tables are partitioned by this column, so a list of days prunes folders.
+    return F.col("block_date") if "block_date" in df.columns else F.to_date("block_timestamp")
 
 
 def ez_block_production(rewards: DataFrame, validators: DataFrame | None = None) -> DataFrame:

@@ -423,3 +423,18 @@ def test_nine_facts_from_one_scan_and_one_stream(spark, chain, tmp_path, monkeyp
         same(sinks.read_target(spark, paths[name]).drop(*AUDIT, refresh.MARK, "block_date"), chain.fact(name))
     for name, path in streamed.items():
         same(spark.read.parquet(path).drop(*AUDIT, refresh.MARK, "block_date"), chain.fact(name))
+
+
+def test_fee_increment_reads_the_days_of_touched_blocks(spark, chain):
+    txs = chain.transactions
+    newest = txs.agg(F.max("block_timestamp")).first()[0]
+    oldest = txs.agg(F.min("block_number")).first()[0]
+    late = txs.withColumn("modified_timestamp", F.when(
+        (F.col("block_number") == oldest) | (F.to_date("block_timestamp") == F.lit(newest.date())),
+        F.lit("2100-01-01").cast("timestamp_ntz")).otherwise(F.col("modified_timestamp")))
+    found = blocks.fact_block_priority_fees_increment(late, chain.blocks, chain.rewards, dt.datetime(2099, 1, 1))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    days = {r[0] for r in late.filter("modified_timestamp > '2099-01-01'").select(F.to_date("block_timestamp")).distinct().collect()}
+    assert len(days) == 2 and all(d.isoformat() in plan for d in days)
+    touched = late.filter("modified_timestamp > '2099-01-01'").select("block_number").distinct()
+    same(found, chain.fees.join(touched, "block_number", "left_semi"))
