@@ -14,7 +14,9 @@ Failure conditions (words: maximal runs outside 0x20 and 0x09-0x0D, case-sensiti
 - D: any of ``SYMBOLS``
 - E: the same text as a row with a smaller doc_id, anywhere in the table, whatever the other filters say
 
-A document's failures are a mask of five bits. Documents are counted per (part, mask) with partial sums before any
+Exact copies are found by SHA-256 of the text; a text held by more than ``HOT_COPIES`` rows (and by a share of the
+table that keeps such texts under ``MAX_HOT_TEXTS``) has its smallest id broadcast, so a large group of copies is
+not shuffled into one task. A document's failures are a mask of five bits. Documents are counted per (part, mask) with partial sums before any
 shuffle, so a part with a third of the rows is only a few rows per task. From the 32 counts of a part, every order of
 the five filters (120) and step follows by array functions, with no join of documents to orders.
 
@@ -34,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from stakeflow.llm.scratch import written
 from stakeflow.llm.wordhash import mix, powers, slices
 
 # Fixed values of the audit.
@@ -54,6 +57,9 @@ _BASE = 0x100000001B3
 _INVERSE = pow(_BASE, -1, 2**64)
 _SALT = (mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1))
 
+HOT_COPIES = 1000  # rows of one text above which its smallest id is broadcast
+MAX_HOT_TEXTS = 100_000  # texts broadcast at most: the threshold rises with the table
+
 COUNTS = "n_words long, n_distinct long, n_capitals long, n_code_points long, n_symbols long"
 
 
@@ -144,8 +150,16 @@ def failures(docs: DataFrame, text: str = "text", key: str = "doc_id", part: str
         F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     ).withColumn("same", F.sha2("text", 256))
-    first = rows.groupBy("same").agg(F.min("doc_id").alias("least"))
-    found = counts(rows.select("doc_id", "part", "same", "text")).join(first, "same", "left")
+    first = written(rows.groupBy("same").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")), "audit-copies")
+    counted = counts(rows.select("doc_id", "part", "same", "text"))
+    # Texts held by many rows would put all their rows into one task of a shuffled join. They are at most
+    # (rows / HOT_COPIES) texts, so their smallest ids are broadcast; only the other rows are shuffled.
+    total = first.agg(F.sum("copies")).first()[0] or 0
+    hot = F.col("copies") > max(HOT_COPIES, total // MAX_HOT_TEXTS)
+    many = first.filter(hot).select("same", "least")
+    found = counted.join(F.broadcast(many), "same", "left").withColumnRenamed("least", "hot_least").join(
+        first.filter(~hot).select("same", "least"), "same", "left"
+    ).withColumn("least", F.coalesce("hot_least", "least"))
     fails = [
         F.col("n_words") < MIN_WORDS,
         100 * F.col("n_distinct") < 50 * F.col("n_words"),

@@ -71,7 +71,9 @@ def brute_audit(docs, labels):
     return out
 
 
-def test_audit_equals_brute_force_on_odd_rows(spark):
+@pytest.mark.parametrize("hot", [1000, 1])
+def test_audit_equals_brute_force_on_odd_rows(spark, monkeypatch, hot):
+    monkeypatch.setattr(filter_audit, "HOT_COPIES", hot)  # 1: every repeated text takes the broadcast path
     wordy = " ".join(f"w{i}" for i in range(250))
     rows = list(ODD) + [
         (20, wordy, "en", "a", 1), (21, wordy, "en", "a", 1), (19, wordy + " #", "en", "b", 1), (22, wordy.upper(), "en", "a", 1),
