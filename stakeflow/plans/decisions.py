@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from stakeflow.functions.keys import surrogate_key
-from stakeflow.functions.numeric import EXACT, exact_avg, exact_sum, ratio, tokens
+from stakeflow.functions.numeric import exact_avg, exact_sum, ratio, tokens
 from stakeflow.functions.times import as_timestamp, days_between, ntz
 from stakeflow.plans.blocks import latest_price
 from stakeflow.plans.earnings import own_claims
@@ -17,7 +17,7 @@ from stakeflow.plans.validators import enrich
 RESTARTS = {5: "5min", 15: "15min", 30: "30min", 60: "1hr"}
 SELL = "Consider selling - price up 20%+ from 30d avg"
 COMPOUND = "Consider compounding - price down 20%+ from 30d avg"
-PRICE = "decimal(19,9)"  # its square fits EXACT
+PRICE = "decimal(19,9)"
 PARTIAL = "High volatility - consider partial claim"
 CLAIM = "Large balance accumulated - consider claiming"
 NEUTRAL = "Neutral - compound or hold based on cash needs"
@@ -81,6 +81,11 @@ def ez_restart_impact(
     return enrich(out, validators)
 
 
+def units(price):
+    """A price as a whole number of 1e-9 units, exact in decimal(38,0) for sums of squares of 30 days."""
+    return (price.cast(PRICE) * F.lit(1_000_000_000)).cast("decimal(38,0)")
+
+
 def price_trend(prices: DataFrame, as_of: dt.date | dt.datetime) -> DataFrame:
     """One row of 1, 7 and 30 day price statistics, from a single pruned scan."""
     now = as_timestamp(as_of)
@@ -96,14 +101,16 @@ def price_trend(prices: DataFrame, as_of: dt.date | dt.datetime) -> DataFrame:
         F.min(within(30)).alias("price_30d_low"),
         F.max(within(30)).alias("price_30d_high"),
         F.count(within(30)).alias("_n"),
-        F.sum(within(30).cast(PRICE)).cast("double").alias("_sum"),
-        F.sum((within(30).cast(PRICE) * within(30).cast(PRICE)).cast(EXACT)).cast("double").alias("_squares"),
+        F.sum(units(within(30))).alias("_sum"),
+        F.sum(units(within(30)) * units(within(30))).alias("_squares"),
     ).withColumn(
-        # From exact sums, so that it does not depend on the order of rows.
+        # n * (sum of squares) - sum^2 is taken on whole numbers of 1e-9 price units, so it neither depends
+        # on the order of rows nor cancels digits away when prices are large and close together (decimal
+        # products with a scale would be narrowed by Spark); only the quotient and its root are doubles.
         "price_volatility_30d",
         F.when(F.col("_n") > 1, F.sqrt(F.greatest(
-            F.lit(0.0), F.col("_squares") - F.col("_sum") * F.col("_sum") / F.col("_n")
-        ) / (F.col("_n") - 1))),
+            F.lit(0.0), (F.col("_squares") * F.col("_n") - F.col("_sum") * F.col("_sum")).cast("double")
+        ) / (F.col("_n") * (F.col("_n") - 1))) / F.lit(1e9)),
     ).drop("_n", "_sum", "_squares")
 
 

@@ -358,3 +358,16 @@ def test_validator_names_prefer_labels(chain):
     assert by_id[5]["consensus_address"] is None and by_id[7]["secp_pubkey"] is None
     assert {r["status"] for r in dim} <= {"active", "stake_too_low", "unknown"}
     assert validators.enrich(chain.epochs, None) is chain.epochs
+
+
+def test_volatility_of_large_close_prices(spark):
+    import statistics
+    from decimal import Decimal as D
+
+    from stakeflow.plans import decisions
+
+    prices = [60000 + (0.01 if i % 2 else -0.01) + (i % 7) * 0.001 for i in range(700)]
+    rows = [(dt.datetime(2024, 1, 31) - dt.timedelta(hours=i), p, True) for i, p in enumerate(prices)]
+    df = spark.createDataFrame(rows, "hour timestamp_ntz, price double, is_native boolean")
+    found = decisions.price_trend(df, dt.datetime(2024, 1, 31, 0, 30)).first()["price_volatility_30d"]
+    assert found == pytest.approx(float(statistics.stdev([D(repr(p)) for p in prices])), rel=1e-9)

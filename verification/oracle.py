@@ -446,14 +446,14 @@ REL["restart"] = f"""SELECT v.*, t.b AS avg_epoch_blocks, t.s AS avg_epoch_secon
     FROM recent_stats v CROSS JOIN typical_epoch t
     LEFT JOIN month_earned c ON c.validator_id = v.validator_id"""
 
+UNITS = "CAST(CAST(price AS DECIMAL(19,9)) * 1000000000 AS HUGEINT)"
 REL["trend"] = f"""SELECT
     {xavg(f"CASE WHEN hour >= {NOW} - INTERVAL 1 DAY THEN price END")} AS price_1d_avg,
     {xavg(f"CASE WHEN hour >= {NOW} - INTERVAL 7 DAY THEN price END")} AS price_7d_avg,
     {xavg('price')} AS price_30d_avg, MIN(price) AS price_30d_low, MAX(price) AS price_30d_high,
-    CASE WHEN COUNT(price) > 1 THEN sqrt(GREATEST(0.0::DOUBLE,
-      CAST(SUM(CAST(CAST(price AS DECIMAL(19,9)) * CAST(price AS DECIMAL(19,9)) AS DECIMAL(38,18))) AS DOUBLE)
-      - CAST(SUM(CAST(price AS DECIMAL(19,9))) AS DOUBLE) * CAST(SUM(CAST(price AS DECIMAL(19,9))) AS DOUBLE) / COUNT(price)
-      ) / (COUNT(price) - 1)) END AS price_volatility_30d
+    CASE WHEN COUNT(price) > 1 THEN sqrt(GREATEST(0.0::DOUBLE, CAST(CAST(
+      COUNT(price) * SUM({UNITS} * {UNITS}) - SUM({UNITS}) * SUM({UNITS}) AS VARCHAR) AS DOUBLE)
+      ) / (COUNT(price) * (COUNT(price) - 1))) / CAST(1e9 AS DOUBLE) END AS price_volatility_30d
     FROM price_hours WHERE hour >= {NOW} - INTERVAL 30 DAY"""
 REL["recent_claims"] = f"""SELECT validator_id, COUNT(*) AS n, {tok('SUM(amount_raw)')} AS claimed,
     MAX(block_timestamp) AS last_at FROM own_claims
