@@ -342,5 +342,5 @@ def _toxic(spark: SparkSession, folder: str) -> DataFrame:
     held_out = language_id.held_out(F.col("doc_id"), 4, 2)
     found = toxicity.score(docs, toxicity.learn(docs, labels, ~held_out))
     return found.select(
-        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_passages", "passages",
     )

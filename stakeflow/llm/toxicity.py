@@ -8,13 +8,13 @@ each sum to one, the expected log ratio of a clean word is negative (minus a div
 its ``MARGIN`` quantile over clean training words, so that random rare words stay below 0; the Karlin-Altschul exponent
 lambda of these scores is solved by bisection.
 
-A document's statistic is its maximum-scoring segment S: the best sum of consecutive word scores, found in one linear
-pass (running prefix sums and running minima per document). Under clean text, S of a document of n words follows an
+A document's maximal scoring segments are found in one linear pass over its words (Ruzzo-Tompa); its statistic S is the
+score of the best of them. Under clean text, S of a document of n words follows an
 extreme-value law, P(S >= x) ~ 1 - exp(-K n e^(-lambda x)); K is estimated by maximum likelihood over all clean training
 documents, and -log E = lambda S - log(K n), compressed logarithmically, is turned into a probability by a logistic fit over all labelled training documents
 (Newton steps, each one Spark aggregate). The training documents are scored out of fold (two folds by hash), so that the
-fit sees scores like those of unseen documents. ``passages`` lists every maximal segment (Ruzzo-Tompa, linear time) whose
-E-value is below ``SIGNIFICANT``.
+fit sees scores like those of unseen documents. The segments whose E-value is at most ``SIGNIFICANT`` are a document's
+toxic passages: ``score`` returns them beside the score, ``passages`` as one row each.
 
 The model is a fixed number of buckets, so what is broadcast has a bound (``3 * BUCKETS`` float32, 24 MB) whatever the
 size of the corpus; counts are summed by Spark with partial aggregation, so a hot source or bucket is a few rows per task.
@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -54,37 +55,64 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (words.hashes() & np.uint64(BUCKETS - 1)).astype(np.int64), words.first
 
 
-def best_segments(scores: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Per document, the largest sum of consecutive ``scores`` (0 for none)."""
+class Segments(NamedTuple):
+    """Maximal segments of a slice: document, first word, last word + 1 (both counted within the document) and score."""
+
+    doc: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    score: np.ndarray
+
+
+def segments_of(scores: np.ndarray, first: np.ndarray) -> Segments:
+    """All maximal scoring segments of each document, by the method of Ruzzo and Tompa.
+
+    Only words that score above 0 are walked. Each held segment knows the next one on its left whose sum before it is
+    lower, so that no segment is passed twice and a document costs linear time whatever its scores.
+    """
     n = len(first) - 1
-    out = np.zeros(n)
-    if not len(scores):
-        return out
     doc = np.repeat(np.arange(n), np.diff(first))
-    running = pd.Series(scores).groupby(doc).cumsum().to_numpy()
-    low = np.minimum(pd.Series(running).groupby(doc).cummin().to_numpy(), 0.0)
-    np.maximum.at(out, doc, running - low)
+    running = pd.Series(scores, dtype="float64").groupby(doc).cumsum().to_numpy()
+    before = np.zeros(len(running))
+    before[1:] = running[:-1]
+    before[first[:-1][first[:-1] < len(before)]] = 0.0
+    at = np.flatnonzero(np.asarray(scores) > 0)
+    out: list[tuple] = []  # document, start, end, sum before the start, sum at the end
+    held: list[tuple] = []  # start, end, the two sums, index of the next lower one on the left
+    owner = -1
+    for d, i, low, high in zip(doc[at].tolist(), at.tolist(), before[at].tolist(), running[at].tolist()):
+        if d != owner:
+            out += [(owner, *x[:4]) for x in held]
+            held, owner = [], d
+        start = i
+        while True:
+            j = len(held) - 1
+            while j >= 0 and held[j][2] >= low:
+                j = held[j][4]
+            if j < 0 or held[j][3] >= high:
+                held.append((start, i + 1, low, high, j))
+                break
+            start, low = held[j][0], held[j][2]
+            del held[j:]
+    out += [(owner, *x[:4]) for x in held]
+    d, start, end = (np.array([x[k] for x in out], np.int64) for k in range(3))
+    low, high = (np.array([x[k] for x in out], np.float64) for k in (3, 4))
+    base = np.asarray(first)[d]
+    return Segments(d, start - base, end - base, high - low)
+
+
+def best_segments(scores: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Per document, the score of its best maximal segment (0 for none)."""
+    out = np.zeros(len(first) - 1)
+    found = segments_of(scores, first)
+    np.maximum.at(out, found.doc, found.score)
     return out
 
 
 def maximal_segments(scores) -> list[tuple[int, int, float]]:
-    """(start, end, score) of all maximal scoring segments, by the linear-time method of Ruzzo and Tompa."""
-    held: list[list] = []  # start, end, cumulative sum before start, cumulative sum at end
-    total = 0.0
-    for i, x in enumerate(scores):
-        if x > 0:
-            new = [i, i + 1, total, total + x]
-            while True:
-                j = len(held) - 1
-                while j >= 0 and held[j][2] >= new[2]:
-                    j -= 1
-                if j < 0 or held[j][3] >= new[3]:
-                    held.append(new)
-                    break
-                new = [held[j][0], i + 1, held[j][2], new[3]]
-                del held[j:]
-        total += x
-    return [(a, b, r - lo) for a, b, lo, r in held]
+    """(start, end, score) of all maximal scoring segments of one document."""
+    found = segments_of(np.asarray(scores, np.float64), np.array([0, len(scores)]))
+    return list(zip(found.start.tolist(), found.end.tolist(), found.score.tolist()))
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,11 +268,45 @@ def _logistic(x: DataFrame, share: float) -> tuple[float, float]:
     return a, b
 
 
+def _scored_batches(shared, lam: float, k: float):
+    """Per document: words, its best segment, the number of significant maximal segments and their word spans."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value[0]
+        for batch in batches:
+            for a, b, data, offsets in slices(batch.column(1)):
+                bucket, first = words_of(data, offsets)
+                n_words = np.diff(first)
+                found = segments_of(table[bucket].astype(np.float64), first)
+                best = np.zeros(b - a)
+                np.maximum.at(best, found.doc, found.score)
+                fit = significant(found, n_words, lam, k)
+                spans = [""] * (b - a)
+                for d, start, end in sorted(zip(found.doc[fit].tolist(), found.start[fit].tolist(), found.end[fit].tolist())):
+                    spans[d] += f"{',' if spans[d] else ''}{start}:{end}"
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array(n_words.astype(np.int64)), pa.array(best),
+                     pa.array(np.bincount(found.doc[fit], minlength=b - a).astype(np.int64)), pa.array(spans, pa.string())],
+                    ["doc_id", "n_words", "best", "n_passages", "passages"],
+                )
+
+    return run
+
+
+def significant(found: Segments, n_words: np.ndarray, lam: float, k: float) -> np.ndarray:
+    """Which segments have an E-value of at most ``SIGNIFICANT`` in a document of so many words."""
+    return k * np.maximum(1, n_words[found.doc]) * np.exp(-lam * found.score) <= SIGNIFICANT
+
+
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_words, best, score) of every document."""
+    """(doc_id, n_words, best, n_passages, passages, score) of every document.
+
+    ``passages`` has the significant maximal segments as start:end by word positions (end exclusive), joined by commas.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model.tables)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    found = rows.mapInArrow(_segment_batches(shared, 1), "doc_id long, n_words long, best0 double").withColumnRenamed("best0", "best")
+    found = rows.mapInArrow(
+        _scored_batches(shared, model.lam, model.k), "doc_id long, n_words long, best double, n_passages long, passages string"
+    )
     return found.withColumn("score", model.column(F.col("best"), F.col("n_words")))
 
 
@@ -252,19 +314,14 @@ def _passage_batches(shared, lam: float, k: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value[0]
         for batch in batches:
-            ids = batch.column(0).to_pylist()
             for a, b, data, offsets in slices(batch.column(1)):
                 bucket, first = words_of(data, offsets)
-                s = table[bucket].astype(np.float64)
-                out = []
-                for d in range(b - a):
-                    n = max(1, int(first[d + 1] - first[d]))
-                    for lo, hi, total in maximal_segments(s[first[d]:first[d + 1]]):
-                        if k * n * math.exp(-lam * total) <= SIGNIFICANT:
-                            out.append((ids[a + d], lo, hi, total))
-                yield pa.RecordBatch.from_pylist(
-                    [dict(zip(("doc_id", "start", "end", "score"), r)) for r in out],
-                    schema=pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]),
+                found = segments_of(table[bucket].astype(np.float64), first)
+                fit = significant(found, np.diff(first), lam, k)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a).take(pa.array(found.doc[fit])),
+                     *(pa.array(x[fit]) for x in (found.start, found.end, found.score))],
+                    ["doc_id", "start", "end", "score"],
                 )
 
     return run

@@ -45,6 +45,34 @@ def test_segments_equal_brute_force(seed):
         assert [(a, b) for a, b, _ in sorted(mine)] == [(a, b) for a, b, _ in brute_maximal(list(d))]
 
 
+def test_falling_sums_take_linear_time():
+    """Every positive word lies below all segments before it, which once cost a walk over all of them."""
+    import time
+
+    n = 200_000
+    scores = np.where(np.arange(n) % 2 == 0, 1.0, -2.0)
+    began = time.perf_counter()
+    assert toxicity.maximal_segments(scores) == [(i, i + 1, 1.0) for i in range(0, n, 2)]
+    assert toxicity.best_segments(scores, np.array([0, n // 2, n])).tolist() == [1.0, 1.0]
+    assert time.perf_counter() - began < 20
+
+
+def test_query_returns_its_segments(spark, tmp_path):
+    calm, rude = "plain calm text of a quiet day " * 20, "idiot moron clown " * 6
+    rows = [(i, calm + rude + calm, "en", "a", 1) for i in range(20)] + [(50 + i, calm + f"number {i}", "en", "b", 1) for i in range(20)]
+    docs = odd_docs(spark, rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(
+        [(r[0], 1, int(r[0] < 50)) for r in rows], "doc_id long, quality int, toxic int"
+    ).write.parquet(f"{tmp_path}/labels.parquet")
+    found = {r["doc_id"]: r for r in queries.QUERIES["op11_toxic_segments"](spark, str(tmp_path)).collect()}
+    assert {(r["n_passages"], r["passages"]) for i, r in found.items() if i < 50} == {(1, "140:158")}
+    assert {(r["n_passages"], r["passages"]) for i, r in found.items() if i >= 50} == {(0, "")}
+    model = toxicity.learn(docs, spark.read.parquet(f"{tmp_path}/labels.parquet"), F.lit(True))
+    spans = toxicity.passages(docs, model).collect()
+    assert {(r["start"], r["end"]) for r in spans} == {(140, 158)} and len(spans) == 20
+
+
 def test_scores_of_odd_rows(spark):
     rows = list(ODD) + [(30 + i, f"word{i} idiot moron clown " * 5, "en", "a", 1) for i in range(8)] + [
         (50 + i, f"plain calm text number {i} " * 5, "en", "b", 1) for i in range(8)
