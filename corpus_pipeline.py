@@ -18,7 +18,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The posterior has to exceed one half, which any text with a few words passes.
     """
     named = {c: f"_{c}" for c in docs.columns if c in ("lang_pred", "score")}
-    found = language_id.identify(docs.withColumnsRenamed(named))
+    with small_batches(spark):  # for the counts, also where a stage is called on its own
+        found = language_id.identify(docs.withColumnsRenamed(named))
     kept = found.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") > 0.5))
     return kept.drop("lang_pred", "score").withColumnsRenamed({v: k for k, v in named.items()}).select(*docs.columns)
 

@@ -23,7 +23,7 @@ from stakeflow.llm.lattice import Encoder, Lattice, groups
 
 SMOOTHING = 0.1
 UNKNOWN = "und"
-GROUP_BYTES = 4 << 20  # of text whose distinct words are held and scored together
+GROUP_BYTES = 2 << 20  # of text whose distinct words are held and scored together
 
 
 def held_out(key: Column, parts: int, part: int) -> Column:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stakeflow.llm.components import components
-from stakeflow.llm.scratch import written
+from stakeflow.llm.scratch import small_batches, written
 from stakeflow.llm.wordhash import Words, mix, shingles, slices, split
 
 BINS = 128
@@ -174,7 +174,9 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, n_shingles, component_id): links where of * |intersection| >= least * |union| of k-word shingles."""
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    sketch = written(rows.mapInArrow(_sketch_batches(k), SKETCH), "sketch")
+    # Whole texts reach Python in small batches, so that its workers and the Arrow buffers of the JVM stay small.
+    with small_batches(docs.sparkSession):
+        sketch = written(rows.mapInArrow(_sketch_batches(k), SKETCH), "sketch")
     filled = sketch.filter("n_shingles > 0 AND id IS NOT NULL")
     classes = written(filled.groupBy("mark").agg(
         F.min("id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
@@ -194,11 +196,12 @@ def near_duplicates(
         proposed.select(F.col("u").alias("mark")).unionByName(proposed.select(F.col("v").alias("mark"))).distinct(), "met"
     )
     wanted = written(classes.join(met, "mark").select(F.col("rep").alias("id")).distinct(), "wanted")
-    sets = written(
-        small_or_shuffled(rows, wanted, "id", wanted.count()).select("id", "text").mapInArrow(
-            _set_batches(k), "mark long, items array<long>"
-        ).join(met, "mark", "left_semi").dropDuplicates(["mark"]), "sets",
-    )
+    with small_batches(docs.sparkSession):
+        sets = written(
+            small_or_shuffled(rows, wanted, "id", wanted.count()).select("id", "text").mapInArrow(
+                _set_batches(k), "mark long, items array<long>"
+            ).join(met, "mark", "left_semi").dropDuplicates(["mark"]), "sets",
+        )
     can_reach = f"{of} * least(n_shingles, centre_size) >= {least} * greatest(n_shingles, centre_size)"
     links = confirmed(proposed.filter(can_reach), sets, least, of)
     label = components(links).withColumnRenamed("id", "mark")

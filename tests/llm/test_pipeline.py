@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stakeflow.llm import decontaminate, mixture, queries, secret_ledger
+from stakeflow.llm import decontaminate, language_id, mixture, near_dups, queries, secret_ledger
 from tests.llm.helpers import SMALL, near_components, odd_docs, shingle_set, words
 from verification.compare import connect, rows_of
 
@@ -59,3 +59,29 @@ def test_stages_keep_columns_and_take_odd_rows(spark):
 
 def stage_ids(df) -> list:
     return sorted(r["doc_id"] or 0 for r in df.select("doc_id").collect())
+
+
+def test_whole_texts_reach_python_in_small_batches(spark, monkeypatch):
+    """In the counts of the first stage and in near duplicates, also where a stage runs on its own."""
+    def bounded(made):
+        def of(*args):
+            inner = made(*args)
+
+            def run(batches):
+                def checked():
+                    for batch in batches:
+                        if batch.num_rows > 2000:
+                            raise ValueError(f"a batch of {batch.num_rows} rows")
+                        yield batch
+
+                return inner(checked())
+
+            return run
+
+        return of
+
+    for module, name in ((language_id, "_count_batches"), (near_dups, "_sketch_batches"), (near_dups, "_set_batches")):
+        monkeypatch.setattr(module, name, bounded(getattr(module, name)))
+    docs = odd_docs(spark, [(i, f"some plain words of document number {i}", "en", "a", 9) for i in range(5000)]).coalesce(1)
+    assert corpus_pipeline.language(spark, docs, SMALL).count() == 5000
+    assert corpus_pipeline.near_duplicates(spark, docs, SMALL).count() == 5000
