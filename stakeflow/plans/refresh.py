@@ -13,12 +13,13 @@ from __future__ import annotations
 import datetime as dt
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stakeflow.operators import latest_per_key
 from stakeflow.plans import balances, blocks, snapshots
-from stakeflow.plans.events import FACTS, fact
+from stakeflow.plans.events import CONTEXT, FACTS, ORIGIN, fact
 from stakeflow.sources.increments import (
     BEGINNING, high_watermark, missing_periods, since_watermark, window_start,
 )
@@ -28,6 +29,7 @@ from stakeflow.sources.tables import staking_events
 
 MARK = "source_modified_timestamp"
 REWARD_MARK = "reward_source_timestamp"
+FACTS_AT_ONCE = 4  # facts whose jobs run side by side
 
 
 def refresh_event_fact(spark: SparkSession, logs: DataFrame, path: str, name: str) -> None:
@@ -39,24 +41,38 @@ def refresh_event_fact(spark: SparkSession, logs: DataFrame, path: str, name: st
 def refresh_event_facts(spark: SparkSession, logs: DataFrame, paths: dict[str, str]) -> None:
     """Several event facts from one scan of the logs.
 
-    One watermark serves them all: the oldest of the targets' own, so no target misses a row (a target that
-    is ahead gets rows it holds, which its upsert by key leaves as they are). The logs newer than it are read
-    once and staged on shared storage in one folder per event; each fact then reads only its own folder.
+    The logs newer than the oldest watermark of the targets are read once. Each event keeps its own target's
+    watermark in that scan, so an event that is rare, and therefore has an old one, does not make the others load
+    again what they hold. The rows are staged on shared storage in one folder per event; each fact then reads only
+    its own folder.
     """
-    marks = [high_watermark(read_target(spark, path), MARK, BEGINNING) for path in paths.values()]
-    fresh = with_mark(logs).filter(F.col(MARK) > F.lit(min(marks).isoformat(sep=" ")).cast("timestamp_ntz"))
+    marks = {name: high_watermark(read_target(spark, path), MARK, BEGINNING) for name, path in paths.items()}
+    own = F.create_map(*[F.lit(x) for name, mark in marks.items() for x in (FACTS[name][0], mark.isoformat(sep=" "))])
+    fresh = _after(with_mark(logs), MARK, min(marks.values())).filter(
+        F.col(MARK) > F.element_at(own, F.col("event_name")).cast("timestamp_ntz")
+    )
     fan_out_facts(spark, fresh, paths)
 
 
 def fan_out_facts(spark: SparkSession, rows: DataFrame, paths: dict[str, str]) -> None:
-    """Stage ``rows`` (logs with ``MARK``) once by event, then store each fact from its own folder."""
+    """Stage ``rows`` (logs with ``MARK``) once by event, then store each fact from its own folder.
+
+    A few facts are stored at a time, so that the last tasks of one leave no cores idle.
+    """
     staged = shared_dir(spark, "event-batch")
     wanted = [FACTS[name][0] for name in paths]
-    staking_events(rows).filter(F.col("event_name").isin(wanted)).write.partitionBy("event_name").parquet(staged)
+    staking_events(rows).filter(F.col("event_name").isin(wanted)).select(
+        *CONTEXT, *ORIGIN, "decoded_log", "tx_succeeded", MARK
+    ).write.partitionBy("event_name").parquet(staged)
     try:
         stored = spark.read.parquet(staged)
-        for name, path in paths.items():
-            store_event_fact(spark, fact(stored.filter(F.col("event_name") == FACTS[name][0]), name, keep=[MARK]), path, name)
+
+        def store(name: str) -> None:
+            own = stored.filter(F.col("event_name") == FACTS[name][0])
+            store_event_fact(spark, fact(own, name, keep=[MARK]), paths[name], name)
+
+        with ThreadPoolExecutor(FACTS_AT_ONCE) as pool:
+            list(pool.map(store, paths))
     finally:
         remove(spark, staged)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stakeflow.plans import balances, blocks, checks, events, refresh
 from stakeflow.session import shared_dir
 from stakeflow.sources import increments, sinks, tables
-from stakeflow.sources.contracts import ContractError, conform
+from stakeflow.sources.contracts import CONTRACTS, ContractError, conform
 from stakeflow.sources.samples import AS_OF
 from stakeflow.streaming.facts import run_available
 from tests.conftest import day, rows, same, ts, wei
@@ -425,6 +425,41 @@ def test_nine_facts_from_one_scan_and_one_stream(spark, chain, tmp_path, monkeyp
         same(spark.read.parquet(path).drop(*AUDIT, refresh.MARK, "block_date"), chain.fact(name))
 
 
+def test_rare_event_does_not_reload_the_others(spark, tmp_path, monkeypatch):
+    """The only epoch change is on day 1; a later run stages the delegations that are new, not those of days 2 and 3."""
+    body = '{"validatorId":1,"delegator":"0xd","amount":"5","activationEpoch":1,"oldEpoch":0,"newEpoch":1}'
+    made = [(1, 1, "EpochChanged"), *[(d + 1, d, "Delegate") for d in range(1, 6)]]
+    logs = conform(spark.createDataFrame(
+        [(n, ts(f"{d:02d} 10:00:00"), f"0x{n}", 0, tables.STAKING_CONTRACT, name, body, body, "0xa", "0xb", "0xc", True, f"{n}",
+          ts(f"{d:02d} 10:00:00"), ts(f"{d:02d} 10:00:00")) for n, d, name in made], CONTRACTS["event_logs"],
+    ), "event_logs")
+    staged = []
+    real = refresh.fan_out_facts
+    monkeypatch.setattr(refresh, "fan_out_facts", lambda s, df, p: (staged.append({r["block_number"] for r in df.collect()}), real(s, df, p)))
+    paths = {name: str(tmp_path / name) for name in ("delegations", "epoch_changes")}
+    for upto in (day(3), day(5)):
+        refresh.refresh_event_facts(spark, logs.filter(F.to_date("modified_timestamp") <= F.lit(upto)), paths)
+    assert staged == [{1, 2, 3, 4}, {5, 6}]
+    for name, path in paths.items():
+        same(sinks.read_target(spark, path).drop(*AUDIT, refresh.MARK, "block_date"), events.fact(logs, name))
+
+
+def test_first_load_and_refilled_partitions_are_evaluated_once(spark, path, monkeypatch):
+    """A first load is written where it belongs; days that the batch fills itself are not looked through for leftovers."""
+    asked = []
+    real = sinks._values
+    monkeypatch.setattr(sinks, "_values", lambda df, c: asked.append(df.inputFiles()) or real(df, c))
+    written = []
+    swap = sinks.swap_in
+    monkeypatch.setattr(sinks, "swap_in", lambda df, *a: (written.extend(df.inputFiles()), swap(df, *a)))
+    sinks.upsert_replace(spark, path, frame(spark, (1, day(1), 1), (2, day(2), 2)), "k", "d")
+    assert not written
+    sinks.upsert_replace(spark, path, frame(spark, (2, day(2), 9), (3, day(3), 9)), "k", "d")
+    assert len(asked) == 2  # the days of the batch, and those that hold its keys
+    found = rows(sinks.read_target(spark, path).drop(*AUDIT), "k")
+    assert [(r["k"], r["d"], r["v"]) for r in found] == [(1, day(1), 1), (2, day(2), 9), (3, day(3), 9)]
+
+
 def test_fee_increment_reads_the_days_of_touched_blocks(spark, chain):
     txs = chain.transactions
     newest = txs.agg(F.max("block_timestamp")).first()[0]
