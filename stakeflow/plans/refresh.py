@@ -282,26 +282,34 @@ def refresh_stake_balances(
         *facts, as_of=as_of, since=since, previous=target if since else None, keep_raw=True,
     )
     start = since
-    if since is not None and marked and MARK in target.columns:
-        late = late_pairs(facts, high_watermark(target, MARK, BEGINNING), since)
-        first = late.agg(F.min("first_day")).first()[0]
-        if first is not None:
-            start = first - dt.timedelta(days=1)
-            pairs = late.select(*balances.PAIR)
-            redone = balances.ez_staking_balances_daily(
-                *(f.join(pairs, balances.PAIR, "left_semi") for f in facts), as_of=as_of, since=start,
-                previous=target.join(pairs, balances.PAIR, "left_semi"), keep_raw=True,
-            )
-            unchanged = target.filter(
-                (F.col("balance_date") > F.lit(start)) & (F.col("balance_date") <= F.lit(since))
-            ).join(pairs, balances.PAIR, "left_anti").drop(MARK)
-            batch = batch.join(pairs, balances.PAIR, "left_anti").unionByName(redone).unionByName(
-                unchanged, allowMissingColumns=True
-            )
-    if newest is not None:
-        batch = batch.withColumn(MARK, F.lit(newest.isoformat(sep=" ")).cast("timestamp_ntz"))
-    covered = _days(start + dt.timedelta(days=1), as_of) if start else ()
-    replace_partitions(spark, path, batch, "balance_date", ["validator_id"], covered=covered)
+    staged = None
+    try:
+        if since is not None and marked and MARK in target.columns:
+            # Six joins below need the late pairs; they are worked out once.
+            staged = shared_dir(spark, "late-pairs")
+            late_pairs(facts, high_watermark(target, MARK, BEGINNING), since).write.parquet(staged)
+            late = spark.read.parquet(staged)
+            first = late.agg(F.min("first_day")).first()[0]
+            if first is not None:
+                start = first - dt.timedelta(days=1)
+                pairs = late.select(*balances.PAIR)
+                redone = balances.ez_staking_balances_daily(
+                    *(f.join(pairs, balances.PAIR, "left_semi") for f in facts), as_of=as_of, since=start,
+                    previous=target.join(pairs, balances.PAIR, "left_semi"), keep_raw=True,
+                )
+                unchanged = target.filter(
+                    (F.col("balance_date") > F.lit(start)) & (F.col("balance_date") <= F.lit(since))
+                ).join(pairs, balances.PAIR, "left_anti").drop(MARK)
+                batch = batch.join(pairs, balances.PAIR, "left_anti").unionByName(redone).unionByName(
+                    unchanged, allowMissingColumns=True
+                )
+        if newest is not None:
+            batch = batch.withColumn(MARK, F.lit(newest.isoformat(sep=" ")).cast("timestamp_ntz"))
+        covered = _days(start + dt.timedelta(days=1), as_of) if start else ()
+        replace_partitions(spark, path, batch, "balance_date", ["validator_id"], covered=covered)
+    finally:
+        if staged is not None:
+            remove(spark, staged)
 
 
 def late_pairs(facts: Sequence[DataFrame], mark: dt.datetime, since: dt.date) -> DataFrame:

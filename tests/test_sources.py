@@ -323,6 +323,21 @@ def test_late_events_beyond_the_window_equal_a_rebuild(spark, chain, path):
     assert stale.exceptAll(full.select(*stale.columns)).count() > 0
 
 
+def test_late_refresh_reads_stored_facts_and_finds_late_pairs_once(spark, chain, path, monkeypatch):
+    from verification.registry import stamped_facts
+
+    facts = stamped_facts(chain)
+    assert not any("events.parquet" in file for f in facts for file in f.inputFiles())
+    read = []
+    real = refresh.replace_partitions
+    monkeypatch.setattr(refresh, "replace_partitions", lambda s, p, df, *a, **k: (read.append(df.inputFiles()), real(s, p, df, *a, **k)))
+    for upto, as_of in (("2024-01-20 23:59:59", day(20)), ("9999-12-31 00:00:00", AS_OF)):
+        seen = [f.filter(F.col(refresh.MARK) <= F.lit(upto).cast("timestamp_ntz")) for f in facts]
+        refresh.refresh_stake_balances(spark, *seen, path, as_of=as_of)
+    assert [any("late-pairs-" in file for file in files) for files in read] == [False, True]
+    same(balances.published(sinks.read_target(spark, path).drop(*AUDIT)), balances.ez_staking_balances_daily(*facts, as_of=AS_OF))
+
+
 def test_unanswered_calls_are_asked_again(spark, chain, tmp_path):
     """Day 26 answered for all validators but 3, day 28 for none: exactly those calls are pending."""
     from verification.registry import HOLE

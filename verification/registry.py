@@ -738,13 +738,16 @@ LATE_STAMP = "2024-01-25 00:00:00"
 
 
 def stamped_facts(c: SampleChain) -> list[DataFrame]:
-    """Stored facts with the source mark; the late ones stamped ``LATE_STAMP``."""
+    """Stored facts with the source mark; the late ones stamped ``LATE_STAMP``.
+
+    They are stored, as the refreshes of a published fact find it: every refresh reads them many times over.
+    """
     logs = refresh.with_mark(c.event_logs)
     out = []
     for name in ("delegations", "undelegations", "withdrawals"):
         made = events.fact(logs, name, keep=[refresh.MARK])
-        out.append(made.withColumn(refresh.MARK, F.when(
-            F.expr(LATE_FACTS), F.lit(LATE_STAMP).cast("timestamp_ntz")).otherwise(F.col(refresh.MARK))))
+        out.append(c.stored(made.withColumn(refresh.MARK, F.when(
+            F.expr(LATE_FACTS), F.lit(LATE_STAMP).cast("timestamp_ntz")).otherwise(F.col(refresh.MARK))), f"stamped-{name}"))
     return out
 
 
