@@ -6,15 +6,21 @@ paragraph of ``PARAGRAPH`` words. Two texts that share a run of 2 * PARAGRAPH -
 paragraph whole, wherever the run begins. An edit inside such a paragraph leaves it under the threshold, so whole
 lines of PARAGRAPH words or more are pieces as well, and so are shorter neighbouring lines, joined.
 
-Each piece's shingles give a short MinHash signature, whose bands are buckets. A bucket links its members with its
-first one only. Pieces of equal words are one class throughout; links between different classes are verified by the
-exact Jaccard similarity of their shingles. Components of classes are clusters. The first document of a cluster
-keeps the passage, the others lose it.
+Each piece's shingles give a short MinHash signature, whose bands are buckets. Pieces joined by buckets are a group.
+Pieces of equal words are one class; links between different classes of a group are verified by the exact Jaccard
+similarity of their shingles. Components of classes are clusters. The first document of a cluster keeps the
+passage, the others lose it.
+
+Most buckets hold overlapping pieces of one document. So each document first joins its own pieces into knots, in the
+task that reads it, and only the distinct bands of its knots are shuffled. A group that lies in one document repeats
+nothing and ends there, before any shingles are sent. Of knots with equal pieces one sends its shingles. A group of up to
+GROUP shingles is compared in the task that gets it, several groups at a time. Larger groups are dealt out by the
+shingles that similar sets must share, and what is too large even so is compared in blocks. Every way finds the
+components of all links in a group.
 
 Bands are tuned for recall: eight bands of two rows find a line at similarity 0.8 with probability 0.9997. Three bands
 find a paragraph at 0.8 with probability 0.95, an equal one always. An edited passage that is part of a longer
-line on both sides has only its paragraphs. Links that a star misses are found as in
-``near_dups``.
+line on both sides has only its paragraphs.
 
 Cases: NULL, empty and blank texts and texts of fewer than PARAGRAPH words have no paragraphs; a passage repeated
 only within one document is not reported; rows that share a doc_id are one document; rows with NULL doc_id take no part; an empty table
@@ -24,6 +30,7 @@ gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +38,14 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from stakeflow.llm.components import components
 from stakeflow.llm.near_dups import confirmed, rest_of_groups, small_or_shuffled
-from stakeflow.llm.scratch import written
+from stakeflow.llm.scratch import small_batches, written
 from stakeflow.llm.wordhash import Words, mix, runs, slices, split
 
 PARAGRAPH = 26
 SHINGLE = 5
 BANDS, LINE_BANDS, ROWS = 3, 8, 2
-KEYS = [f"key{i}" for i in range(LINE_BANDS)]
+GROUP = 1 << 21  # shingles of the classes that one task compares at a time
+CHUNK = 1 << 20  # shingles or pairs of classes that are compared at once
 _SEEDS = mix(np.arange(1, LINE_BANDS * ROWS + 1, dtype=np.uint64))
 
 
@@ -91,64 +99,350 @@ def line_units(words: Words, size: int = PARAGRAPH) -> tuple[np.ndarray, np.ndar
     return np.concatenate(starts), np.concatenate(sizes)
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(doc_ids, starts, word counts, shingles, edges, hash of the words, bands) of paragraphs, then of lines.
+class Pieces(NamedTuple):
+    """Pieces of one slice: its paragraphs, then its lines. The shingles of piece i are ``own[edges[i]:edges[i + 1]]``."""
 
-    The shingles of piece i are those from ``edges[i]`` to ``edges[i + 1]``.
-    """
+    ids: np.ndarray  # doc_id of each row of the slice
+    doc: np.ndarray  # row of each piece
+    start: np.ndarray
+    size: np.ndarray
+    own: np.ndarray
+    edges: np.ndarray
+    exact: np.ndarray  # hash of the words
+    keys: np.ndarray  # one column per band
+    bands: np.ndarray  # how many of them a piece has
+    knot: np.ndarray  # least index of a piece of the same row that bands join it with
+
+
+def joined(a: np.ndarray, b: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """``label`` after joining the sets of a[i] and b[i] for every i; a set's label is its least index."""
+    label = label.copy()
+    while True:
+        x, y = label[a], label[b]
+        apart = x != y
+        if not apart.any():
+            return label
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while (label != (label := label[label])).any():
+            pass
+
+
+def _lead(*columns: np.ndarray) -> np.ndarray:
+    """Where a row of sorted columns differs from the row before."""
+    out = np.ones(len(columns[0]), bool)
+    out[1:] = False
+    for c in columns:
+        out[1:] |= c[1:] != c[:-1]
+    return out
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, Pieces]]:
+    """(first row, last row + 1, pieces) of each slice that has any; doc_id and text are the first two columns."""
     for batch in batches:
         ids = np.array(batch.column(0))
         for a, b, data, offsets in slices(batch.column(1)):
             words = split(data, offsets)
             grams = runs(words.hashes(), SHINGLE)
             starts = paragraph_starts(words, grams)
-            for at, size, bands in ((starts, np.full(len(starts), PARAGRAPH), BANDS), (*line_units(words), LINE_BANDS)):
-                if not len(at):
-                    continue
-                count = size - SHINGLE + 1
-                edges = np.concatenate([[0], np.cumsum(count)])
-                within = np.arange(edges[-1]) - np.repeat(edges[:-1], count)
-                own = grams[np.repeat(at, count) + within]
-                exact = mix(np.add.reduceat(mix(own + within.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), edges[:-1]))
-                doc = words.doc[at]
-                yield ids[a:b][doc], (at - words.first[doc]).astype(np.int32), size.astype(np.int32), own, edges, exact.view(np.int64), bands
+            lines, sizes = line_units(words)
+            at = np.concatenate([starts, lines])
+            if not len(at):
+                continue
+            size = np.concatenate([np.full(len(starts), PARAGRAPH), sizes])
+            count = size - SHINGLE + 1
+            edges = np.concatenate([[0], np.cumsum(count)])
+            within = np.arange(edges[-1]) - np.repeat(edges[:-1], count)
+            where = np.repeat(at, count) + within
+            own = grams[where]
+            exact = mix(np.add.reduceat(mix(own + within.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), edges[:-1]))
+            keys = np.zeros((len(at), LINE_BANDS), np.uint64)
+            low = 0
+            for band in range(LINE_BANDS):
+                if band == BANDS:  # the others are for lines only
+                    low = len(starts)
+                    if low == len(at):
+                        break
+                key = np.full(len(at) - low, band + 1, np.uint64)
+                for seed in _SEEDS[band * ROWS:(band + 1) * ROWS]:
+                    least = np.minimum.reduceat(mix(grams ^ seed)[where[edges[low]:]], edges[low:-1] - edges[low])
+                    key = mix(key * np.uint64(31) + least)
+                keys[low:, band] = key
+            doc = words.doc[at]
+            bands = np.where(np.arange(len(at)) < len(starts), BANDS, LINE_BANDS)
+            piece, key = _rows_of(keys, bands)
+            order = np.lexsort((key, doc[piece]))
+            piece, key = piece[order], key[order]
+            same = np.flatnonzero(~_lead(key, doc[piece]))
+            knot = joined(piece[same - 1], piece[same], np.arange(len(at)))
+            yield a, b, Pieces(
+                ids[a:b], doc, (at - words.first[doc]).astype(np.int32), size.astype(np.int32), own, edges,
+                exact.view(np.int64), keys.view(np.int64), bands, knot,
+            )
+
+
+def _rows_of(keys: np.ndarray, bands: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(piece, key) of each band that a piece has."""
+    piece, band = np.nonzero(np.arange(LINE_BANDS)[None, :] < bands[:, None])
+    return piece, keys[piece, band]
+
+
+def _knots(p: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(pieces by knot and class, where a knot begins, where a class does, least class of each knot, hash of its classes)."""
+    order = np.lexsort((p.exact, p.knot))
+    lead = _lead(p.knot[order])
+    first = np.flatnonzero(lead)
+    fresh = lead | _lead(p.exact[order])
+    marks = np.where(fresh, mix(p.exact[order].view(np.uint64)), np.uint64(0))
+    return order, first, fresh, p.exact[order][first], mix(np.add.reduceat(marks, first)).view(np.int64)
+
+
+def _lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), pa.array(values))
+
+
+KNOTS = "doc_id long, root long, sig long, shingles long, exacts array<long>, starts array<int>, sizes array<int>, keys array<long>"
+
+
+def _knot_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of KNOTS: the pieces of each knot and its distinct band keys.
+
+    Two knots of a slice with one least class show that it repeats, so a third need not have the same key.
+    """
+    for _, _, p in _pieces(batches):
+        order, first, fresh, root, sig = _knots(p)
+        counts = np.diff(np.append(first, len(order)))
+        nth = np.empty(len(order), np.int64)  # knot of each piece
+        nth[order] = np.repeat(np.arange(len(first)), counts)
+        piece, key = _rows_of(p.keys, p.bands)
+        knot = nth[piece]
+        by = np.lexsort((knot, key))
+        knot, key = knot[by], key[by]
+        once = _lead(key, knot)
+        knot, key = knot[once], key[once]
+        by = np.lexsort((root[knot], key))
+        knot, key = knot[by], key[by]
+        run = np.flatnonzero(_lead(key, root[knot]))
+        rank = np.arange(len(key)) - np.repeat(run, np.diff(np.append(run, len(key))))
+        knot, key = knot[rank < 2], key[rank < 2]
+        by = np.argsort(knot, kind="stable")
+        yield pa.RecordBatch.from_arrays([
+            pa.array(p.ids[p.doc[order[first]]]), pa.array(root), pa.array(sig),
+            pa.array(np.add.reduceat(np.where(fresh, np.diff(p.edges)[order], 0), first)), _lists(p.exact[order], counts), _lists(p.start[order], counts),
+            _lists(p.size[order], counts), _lists(key[by], np.bincount(knot, minlength=len(first))),
+        ], ["doc_id", "root", "sig", "shingles", "exacts", "starts", "sizes", "keys"])
+
+
+def _named_classes(batch: pa.RecordBatch) -> Iterator[tuple[Pieces, np.ndarray, np.ndarray]]:
+    """(pieces, one piece of each class in the knots that column 2 names for its document, which of the batch's named knots it is in)."""
+    named = batch.column(2)
+    low = np.asarray(named.offsets)
+    sigs = np.asarray(named.values.field("sig"))
+    for a, b, p in _pieces([batch]):
+        order, first, fresh, _, sig = _knots(p)
+        where = np.arange(low[a], low[b])
+        row = np.repeat(np.arange(b - a), np.diff(low[a:b + 1]))
+        # (row, sig) of the named ones are matched with those of the knots.
+        doc = p.doc[order[first]]
+        by = np.lexsort((np.concatenate([np.zeros(len(where), int), np.ones(len(doc), int)]), np.concatenate([sigs[where], sig]), np.concatenate([row, doc])))
+        own = by >= len(where)
+        lead = _lead(np.concatenate([sigs[where], sig])[by], np.concatenate([row, doc])[by])
+        head = by[np.flatnonzero(lead)[np.cumsum(lead) - 1]]
+        fit = own & (head < len(where))
+        name = np.full(len(first), -1)
+        name[by[fit] - len(where)] = where[head[fit]] if len(where) else 0
+        each = np.repeat(name, np.diff(np.append(first, len(order))))
+        take = fresh & (each >= 0)
+        if take.any():
+            yield p, order[take], each[take]
+
+
+def _shingles_of(p: Pieces, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles of the pieces in the order of the text, how many each has)."""
+    counts = np.diff(p.edges)[pieces]
+    at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(p.edges[pieces], counts)
+    return p.own[at].view(np.int64), counts
 
 
 def _class_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(exact, doc_id, band keys) of each piece; NULL for the bands that it does not have."""
-    for ids, _, _, own, edges, exact, bands in _pieces(batches):
-        least = [np.minimum.reduceat(mix(own ^ seed), edges[:-1]) for seed in _SEEDS[:bands * ROWS]]
-        keys = []
-        for band in range(bands):
-            key = np.full(len(exact), band + 1, np.uint64)
-            for r in range(ROWS):
-                key = mix(key * np.uint64(31) + least[band * ROWS + r])
-            keys.append(pa.array(key.view(np.int64)))
-        keys += [pa.nulls(len(exact), pa.int64())] * (len(KEYS) - bands)
-        yield pa.RecordBatch.from_arrays([pa.array(exact), pa.array(ids), *keys], ["exact", "doc_id", *KEYS])
-
-
-def _place_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(exact, doc_id, start, size) of each piece."""
-    for ids, starts, sizes, _, _, exact, _ in _pieces(batches):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(exact), pa.array(ids), pa.array(starts), pa.array(sizes)], ["exact", "doc_id", "start", "size"]
-        )
-
-
-def _shingle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(mark, items): hash and distinct shingles of those pieces that a document's list names."""
+    """(grp, first_doc, last_doc, exacts, counts, items) of each named knot: its classes and their shingles."""
+    for batch in batches:
+        of = {n: np.asarray(batch.column(2).values.field(n)) for n in ("grp", "first_doc", "last_doc")}
+        for p, pieces, name in _named_classes(batch):
+            by = np.lexsort((p.start[pieces], name))  # neighbours share shingles, which then compress well
+            pieces, name = pieces[by], name[by]
+            first = np.flatnonzero(_lead(name))
+            classes = np.diff(np.append(first, len(name)))
+            items, counts = _shingles_of(p, pieces)
+            yield pa.RecordBatch.from_arrays([
+                *[pa.array(of[n][name[first]]) for n in of], _lists(p.exact[pieces], classes),
+                _lists(counts.astype(np.int32), classes), _lists(items, np.add.reduceat(counts, first)),
+            ], ["grp", *list(of)[1:], "exacts", "counts", "items"])
+
+
+def _wide_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(exact, grp, first_doc, last_doc, items) of each class of each named knot, one at a time."""
     for batch in batches:
-        wanted = np.unique(np.concatenate([np.asarray(x, np.int64) for x in batch.column(2).to_pylist()]))
-        for _, _, _, own, edges, exact, _ in _pieces([batch]):
-            exact, lead = np.unique(exact, return_index=True)
-            fit = np.isin(exact, wanted)
-            items = [np.unique(own[edges[i]:edges[i + 1]]).view(np.int64) for i in lead[fit]]
-            if items:
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(exact[fit]),
-                    pa.ListArray.from_arrays(np.cumsum([0, *map(len, items)], dtype=np.int32), pa.array(np.concatenate(items))),
-                ], ["mark", "items"])
+        of = {n: np.asarray(batch.column(2).values.field(n)) for n in ("grp", "first_doc", "last_doc")}
+        for p, pieces, name in _named_classes(batch):
+            items = [np.unique(p.own[p.edges[i]:p.edges[i + 1]]).view(np.int64) for i in pieces]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(p.exact[pieces]), *[pa.array(of[n][name]) for n in of], _lists(np.concatenate(items), [len(x) for x in items])],
+                ["exact", *of, "items"],
+            )
+
+
+def _near(a: np.ndarray, b: np.ndarray, items: np.ndarray, edges: np.ndarray, least: int, of: int) -> np.ndarray:
+    """Whether the sets a[i] and b[i] are similar enough; set j is ``items[edges[j]:edges[j + 1]]``, without repeats."""
+    size = np.diff(edges)
+    out = of * np.minimum(size[a], size[b]) >= least * np.maximum(size[a], size[b])
+    todo = np.flatnonzero(out)
+    ends = np.cumsum(size[a[todo]] + size[b[todo]])
+    low = 0
+    while low < len(todo):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + CHUNK, "right")))
+        pair = todo[low:high]
+        sets = np.concatenate([a[pair], b[pair]])
+        n = size[sets]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(edges[sets], n)
+        nth, item = np.repeat(np.tile(np.arange(len(pair)), 2), n), items[at]
+        by = np.lexsort((item, nth))
+        both = ~_lead(item[by], nth[by])
+        common = np.bincount(nth[by][both], minlength=len(pair))
+        out[pair] = of * common >= least * (size[a[pair]] + size[b[pair]] - common)
+        low = high
+    return out
+
+
+def linked_classes(grp: np.ndarray, items: np.ndarray, edges: np.ndarray, least: int, of: int) -> np.ndarray:
+    """The least index that each set is linked with, over any number of links inside its group.
+
+    Similar sets share one of their first size - ceil(size * least / of) + 1 items in any one order; here the rarest
+    items of the group come first.
+    """
+    size = np.diff(edges)
+    owner = np.repeat(np.arange(len(size)), size)
+    by = np.lexsort((items, grp[owner]))
+    run = np.flatnonzero(_lead(items[by], grp[owner[by]]))
+    often = np.diff(np.append(run, len(by)))
+    rare = np.empty(len(by), np.int64)
+    rare[by] = np.repeat(often, often)
+    ranked = items[np.lexsort((items, rare, owner))]
+    some = np.arange(len(items)) - edges[owner] < (size - (least * size + of - 1) // of + 1)[owner]
+    owner, item = owner[some], ranked[some]
+    by = np.lexsort((owner, item, grp[owner]))
+    owner, item = owner[by], item[by]
+    lead = _lead(item, grp[owner])
+    stop = np.append(np.flatnonzero(lead), len(item))[np.cumsum(lead)]
+    label, step = np.arange(len(size)), 1
+    at = np.arange(len(item))
+    while len(at := at[at + step < stop[at]]):
+        for low in range(0, len(at), CHUNK):
+            x = at[low:low + CHUNK]
+            a, b = owner[x], owner[x + step]
+            apart = label[a] != label[b]
+            pair = np.unique(a[apart] * len(size) + b[apart])
+            a, b = pair // len(size), pair % len(size)
+            near = _near(a, b, items, edges, least, of)
+            label = joined(a[near], b[near], label)
+        step += 1
+    return label
+
+
+def _clusters(rows: pa.Table, least: int, of: int, every: bool) -> pa.RecordBatch:
+    """(exact, cluster, first_doc) of the classes of whole groups of knots, of those whose cluster lies in several documents unless ``every``."""
+    grp, first, last = (np.asarray(rows[n].combine_chunks()) for n in ("grp", "first_doc", "last_doc"))
+    exacts, counts, items = (rows[n].combine_chunks() for n in ("exacts", "counts", "items"))
+    knot = np.repeat(np.arange(len(grp)), np.diff(np.asarray(exacts.offsets)))
+    exact, count, items = np.asarray(exacts.flatten()), np.asarray(counts.flatten()), np.asarray(items.flatten())
+    by = np.lexsort((exact, grp[knot]))
+    lead = np.flatnonzero(_lead(exact[by], grp[knot[by]]))
+    kept, knots = by[lead], knot[by]
+    first, last = np.minimum.reduceat(first[knots], lead), np.maximum.reduceat(last[knots], lead)
+    begin = np.cumsum(count) - count
+    n = count[kept]
+    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[kept], n)
+    owner, item = np.repeat(np.arange(len(kept)), n), items[at]
+    order = np.lexsort((item, owner))
+    owner, item = owner[order], item[order]
+    fresh = _lead(owner, item)
+    edges = np.concatenate([[0], np.cumsum(np.bincount(owner[fresh], minlength=len(kept)))])
+    # Classes of a group lie by hash, so the first of a cluster has the least one.
+    label = linked_classes(grp[knot[kept]], item[fresh], edges, least, of)
+    low, high = first.copy(), last.copy()
+    np.minimum.at(low, label, first)
+    np.maximum.at(high, label, last)
+    keep = (low[label] < high[label]) | every
+    exact = exact[kept]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(exact[keep]), pa.array(exact[label][keep]), pa.array(low[label][keep])], ["exact", "cluster", "first_doc"]
+    )
+
+
+def _cluster_batches(least: int, of: int, every: bool = False):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Batches are sorted by group; the last group of a batch waits for the next one."""
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            grp = np.asarray(batch.column(0))
+            if not len(grp):
+                continue
+            cut = int(np.searchsorted(grp, grp[-1]))
+            if held and np.asarray(held[0].column(0))[0] != grp[-1]:
+                yield _clusters(pa.Table.from_batches([*held, batch.slice(0, cut)]), least, of, every)
+                held = []
+            elif not held and cut:
+                yield _clusters(pa.Table.from_batches([batch.slice(0, cut)]), least, of, every)
+            held.append(batch.slice(cut))
+        if held:
+            yield _clusters(pa.Table.from_batches(held), least, of, every)
+
+    return run
+
+
+def _wide_clusters(rows: DataFrame, least: int, of: int) -> DataFrame:
+    """(exact, cluster, first_doc) like ``_clusters``, for groups too large for one task.
+
+    Classes of a group meet where they share one of the first items that similar sets must share. Where too many meet,
+    they are linked with the first of them, and the rest is found as in ``near_dups``.
+    """
+    found = written(rows.mapInArrow(_wide_batches, "exact long, grp long, first_doc long, last_doc long, items array<long>"), "wide")
+    sets = written(found.groupBy("exact").agg(
+        F.min("grp").alias("grp"), F.min("first_doc").alias("first_doc"), F.max("last_doc").alias("last_doc"), F.first("items").alias("items")
+    ), "shingles")
+    size = F.size("items").cast("long")
+    heads = sets.select("exact", "grp", size.alias("size"), F.explode(F.slice(
+        "items", F.lit(1), (size - F.ceil(size * least / of) + 1).cast("int")
+    )).alias("item"))
+    met = written(heads.groupBy("grp", "item").agg(
+        F.count("*").alias("n"), F.sum("size").alias("shingles"), F.min("exact").alias("centre")
+    ).filter("n > 1").drop("n"), "met")
+    dealt = heads.join(met, ["grp", "item"]).select(F.xxhash64("grp", "item").alias("grp"), "exact", "shingles", "centre")
+    near = written(dealt.filter(F.col("shingles") <= GROUP).select("grp", "exact").join(sets.drop("grp"), "exact").select(
+        "grp", "first_doc", "last_doc", F.array("exact").alias("exacts"), F.array(F.size("items")).alias("counts"), "items"
+    ).repartition("grp").sortWithinPartitions("grp").mapInArrow(
+        _cluster_batches(least, of, every=True), "exact long, cluster long, first_doc long"
+    ).filter("exact <> cluster").select(F.col("exact").alias("u"), F.col("cluster").alias("v")).distinct(), "near")
+    proposed = written(dealt.filter((F.col("shingles") > GROUP) & (F.col("exact") != F.col("centre"))).select(
+        F.col("exact").alias("u"), F.col("centre").alias("v")
+    ).distinct(), "proposed")
+    crowded = not proposed.isEmpty()
+    if crowded:
+        marked = sets.select(F.col("exact").alias("mark"), "items")
+        near = near.unionByName(confirmed(proposed, marked, least, of))
+    label = components(near)
+    if crowded:
+        ends = written(proposed.select(F.col("u").alias("mark")).unionByName(proposed.select(F.col("v").alias("mark"))).distinct(), "ends")
+        more = rest_of_groups(proposed, ends, label.withColumnRenamed("id", "mark"), marked, least, of)
+        if more is not None:
+            label = components(label.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(written(more, "more")))
+    named = written(sets.drop("grp", "items").join(label.withColumnRenamed("id", "exact"), "exact", "left").select(
+        "exact", F.coalesce("component", "exact").alias("cluster"), "first_doc", "last_doc"
+    ), "named")
+    spread = named.groupBy("cluster").agg(F.min("first_doc").alias("first_doc"), F.max("last_doc").alias("last_doc")).filter(
+        "first_doc < last_doc"
+    ).drop("last_doc")
+    return named.select("exact", "cluster").join(spread, "cluster").select("exact", "cluster", "first_doc")
 
 
 def repeated_passages(docs: DataFrame, text: str = "text", least: int = 80, of: int = 100) -> DataFrame:
@@ -157,52 +451,54 @@ def repeated_passages(docs: DataFrame, text: str = "text", least: int = 80, of:
     A span joins the overlapping or touching paragraphs of one document that repeat; ``removed`` is false where the
     document is the first of every cluster in the span. ``cluster`` numbers the first of them.
 
-    Paragraphs of equal words become one class before anything is joined, so copies cost one row each.
+    Of knots with equal pieces only the first one's text is compared, so copies cost one small row each.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).filter(
         "doc_id IS NOT NULL"
     )
-    keys = ", ".join(f"{k} long" for k in KEYS)
-    classes = written(
-        rows.mapInArrow(_class_batches, f"exact long, doc_id long, {keys}").groupBy("exact").agg(
-            F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"), *[F.min(k).alias(k) for k in KEYS]
-        ), "classes",
-    )
-    banded = classes.select("exact", F.explode(F.array(*KEYS)).alias("key")).filter("key IS NOT NULL")
-    centres = banded.groupBy("key").agg(F.min("exact").alias("centre"), F.max("exact").alias("other")).filter(
-        "centre < other"
-    ).drop("other")
-    proposed = written(banded.join(centres, "key").filter("exact <> centre").select(
-        F.col("exact").alias("u"), F.col("centre").alias("v")
-    ).distinct(), "proposed")
-    met = written(
-        proposed.select(F.col("u").alias("mark")).unionByName(proposed.select(F.col("v").alias("mark"))).distinct(), "met"
-    )
-    listed = classes.join(met, F.col("exact") == F.col("mark")).groupBy(F.col("first_doc").alias("doc_id")).agg(
-        F.collect_list("exact").alias("exacts")
+    # Whole texts reach Python in small batches, so that its workers and the Arrow buffers of the JVM stay small.
+    with small_batches(docs.sparkSession):
+        knots = written(rows.mapInArrow(_knot_batches, KNOTS), "knots")
+    # Knots in turn that share a band; one that meets itself is in several rows.
+    turn = Window.partitionBy("key").orderBy("root")
+    links = written(knots.select(F.col("root"), F.explode("keys").alias("key")).select(
+        F.col("root").alias("u"), F.lag("root").over(turn).alias("v")
+    ).filter("v IS NOT NULL").distinct(), "meetings")
+    touched = links.select(F.col("u").alias("root")).unionByName(links.select(F.col("v").alias("root"))).distinct()
+    groups = touched.join(components(links).withColumnRenamed("id", "root"), "root", "left").select(
+        "root", F.coalesce("component", "root").alias("grp")
     )
-    sets = written(
-        small_or_shuffled(rows, written(listed, "listed"), "doc_id", met.count()).select("doc_id", "text", "exacts").mapInArrow(
-            _shingle_batches, "mark long, items array<long>"
-        ).dropDuplicates(["mark"]), "shingles",
-    )
-    near = confirmed(proposed, sets, least, of)
-    label = components(near)
-    more = rest_of_groups(proposed, met, label.withColumnRenamed("id", "mark"), sets, least, of)
-    more = None if more is None else written(more, "more")
-    if more is not None and not more.isEmpty():
-        label = components(label.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(more))
-    # A class that is linked with nothing and lies in one document is no repeat.
-    named = written(classes.join(label.withColumnRenamed("id", "exact"), "exact", "left").filter(
-        "component IS NOT NULL OR first_doc < last_doc"
-    ).select("exact", F.coalesce("component", "exact").alias("cluster"), "first_doc", "last_doc"), "named")
-    spread = named.groupBy("cluster").agg(F.min("first_doc").alias("first_doc"), F.max("last_doc").alias("last_doc")).filter(
-        "first_doc < last_doc"
-    ).drop("last_doc")
-    repeated = named.select("exact", "cluster").join(spread, "cluster")
-    flagged = rows.mapInArrow(_place_batches, "exact long, doc_id long, start int, size int").join(repeated, "exact").select(
-        "doc_id", "start", (F.col("start") + F.col("size")).alias("end"), "cluster", "first_doc"
+    # Of knots with the same pieces one is enough.
+    sigs = written(knots.groupBy("root", "sig").agg(
+        F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"), F.min("shingles").alias("shingles")
+    ).join(groups, "root").drop("root"), "sigs")
+    sizes = sigs.groupBy("grp").agg(
+        F.sum("shingles").alias("size"), F.min("first_doc").alias("low"), F.max("last_doc").alias("high")
+    ).filter("low < high").select("grp", (F.col("size") > GROUP).alias("wide"))
+    named = written(sigs.join(sizes, "grp").groupBy(F.col("first_doc").alias("doc_id"), "wide").agg(
+        F.collect_list(F.struct("sig", "grp", "first_doc", "last_doc")).alias("named"), F.count("*").alias("n")
+    ), "named")
+
+    def texts(wide: bool) -> DataFrame | None:
+        wanted = named.filter(F.col("wide") == wide)
+        n = wanted.agg(F.sum("n")).first()[0]
+        return n and small_or_shuffled(rows, wanted.select("doc_id", "named"), "doc_id", n).select("doc_id", "text", "named")
+
+    with small_batches(docs.sparkSession):
+        few, wide = texts(False), texts(True)
+        parts = [] if few is None else [written(few.mapInArrow(
+            _class_batches, "grp long, first_doc long, last_doc long, exacts array<long>, counts array<int>, items array<long>"
+        ).repartition("grp").sortWithinPartitions("grp").mapInArrow(
+            _cluster_batches(least, of), "exact long, cluster long, first_doc long"
+        ), "clusters")]
+        parts += [] if wide is None else [written(_wide_clusters(wide, least, of), "clusters")]
+    repeated = parts[0] if parts else docs.sparkSession.createDataFrame([], "exact long, cluster long, first_doc long")
+    for part in parts[1:]:
+        repeated = repeated.unionByName(part)
+    places = knots.select("doc_id", F.explode(F.arrays_zip("exacts", "starts", "sizes")).alias("p")).select(
+        "doc_id", F.col("p.exacts").alias("exact"), F.col("p.starts").alias("start"), (F.col("p.starts") + F.col("p.sizes")).alias("end")
     )
+    flagged = places.join(repeated, "exact").select("doc_id", "start", "end", "cluster", "first_doc")
     in_doc = Window.partitionBy("doc_id").orderBy("start", "cluster")
     before = in_doc.rowsBetween(Window.unboundedPreceding, -1)
     apart = (F.col("start") > F.max("end").over(before)).cast("int")

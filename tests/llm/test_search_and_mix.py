@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stakeflow.llm import decontaminate, exact_topk, mixture, passage_dups, token_rollup
 from stakeflow.llm.scratch import small_batches
-from tests.llm.helpers import ODD, SMALL, near_components, odd_docs, words
+from tests.llm.helpers import ODD, SMALL, least_reachable, near_components, odd_docs, words
 
 
 def brute_topk(rows, k, every):
@@ -273,3 +273,61 @@ def test_passages_odd_rows(spark):
     found = {r["doc_id"]: (r["start"], r["removed"]) for r in passage_dups.repeated_passages(odd_docs(spark, rows)).collect()}
     assert set(found) == {20, 21} and found[21][1] and not found[20][1]
     assert passage_dups.repeated_passages(odd_docs(spark, [])).count() == 0
+
+
+def test_passages_of_one_document_send_no_shingles(spark, monkeypatch):
+    """Overlapping paragraphs of one document share bands; only what several documents have is compared."""
+    rng = random.Random(21)
+    prose = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    texts = {i: " ".join(prose(400)) for i in range(30)}
+    shared = prose(70)
+    texts |= {100 + i: " ".join(prose(200) + shared + prose(200)) for i in range(2)}
+    tables, written = {}, passage_dups.written
+
+    def counted(df, purpose):
+        tables[purpose] = written(df, purpose)
+        return tables[purpose]
+
+    monkeypatch.setattr(passage_dups, "written", counted)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r["doc_id"] for r in passage_dups.repeated_passages(docs).collect()} == {100, 101}
+    assert sum(t.count() for purpose, t in tables.items() if purpose != "knots") < 100
+
+
+@pytest.mark.parametrize("group", [0, 60, 1500])
+def test_passages_do_not_depend_on_the_size_of_groups(spark, monkeypatch, group):
+    rng = random.Random(22)
+    prose = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    texts = {}
+    for i in range(4):
+        passage = prose(60)
+        for j in range(12):
+            own = list(passage)
+            for at in rng.sample(range(60), rng.randint(0, 3)):
+                own[at] = f"edit{rng.random()}"
+            texts[100 * i + j] = f"{' '.join(prose(40))}\n{' '.join(own)}\n{' '.join(prose(40))}"
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = sorted(passage_dups.repeated_passages(docs).collect())
+    assert len({r["cluster"] for r in found}) >= 4
+    monkeypatch.setattr(passage_dups, "GROUP", group)
+    assert sorted(passage_dups.repeated_passages(docs).collect()) == found
+
+
+def test_linked_classes_equal_brute_force():
+    rng = np.random.default_rng(23)
+    sets, grp = [], []
+    for g in range(12):
+        base = rng.integers(0, 2**40, 60)
+        for _ in range(14):
+            low = rng.integers(0, 30)
+            own = base[low:low + rng.integers(4, 26)].copy()
+            own[rng.random(len(own)) < 0.05] = rng.integers(0, 2**40)
+            sets.append(np.unique(own))
+            grp.append(g // 2)
+    edges = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    found = passage_dups.linked_classes(np.array(grp), np.concatenate(sets), edges, 80, 100)
+    links = [
+        (a, b) for a in range(len(sets)) for b in range(a)
+        if grp[a] == grp[b] and 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))
+    ]
+    assert found.tolist() == [least_reachable(range(len(sets)), links)[i] for i in range(len(sets))]
