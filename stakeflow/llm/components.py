@@ -40,15 +40,16 @@ def _settled(links: DataFrame) -> bool:
     return odd.filter("out > 1 OR (out = 1 AND in = 1) OR up = 1").isEmpty()
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, most_rounds: int = 60, stored: bool = False) -> DataFrame:
     """(id, component): each linked id with the smallest id it can reach.
 
-    ``links`` has two integer columns u and v; loops and repeats do no harm. Each round is a
+    ``links`` has two integer columns u and v; loops and repeats do no harm. ``stored`` ones, a written table
+    without repeats, are not written again. Each round is a
     written table. An error is raised if the stars have not settled after ``most_rounds``, which
     the logarithmic bound of the method rules out for any table that fits on a disk.
     """
     tidy = lambda df: df.filter("u <> v").distinct()
-    now = written(tidy(links), "links")
+    now = links.filter("u <> v") if stored else written(tidy(links), "links")
     for _ in range(most_rounds):
         if _settled(now):
             return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(

@@ -14,7 +14,7 @@ passage, the others lose it.
 Most buckets hold overlapping pieces of one document. So each document first joins its own pieces into knots, in the
 task that reads it, and only the distinct bands of its knots are shuffled. A group that lies in one document repeats
 nothing and ends there, before any shingles are sent. Of knots with equal pieces one sends its shingles. A group of up to
-GROUP shingles is compared in the task that gets it, several groups at a time. Larger groups are dealt out by the
+GROUP shingles is compared in the task that gets it, several groups of no more shingles in all at a time. Larger groups are dealt out by the
 shingles that similar sets must share, and what is too large even so is compared in blocks. Every way finds the
 components of all links in a group.
 
@@ -46,6 +46,7 @@ SHINGLE = 5
 BANDS, LINE_BANDS, ROWS = 3, 8, 2
 GROUP = 1 << 21  # shingles of the classes that one task compares at a time
 CHUNK = 1 << 20  # shingles or pairs of classes that are compared at once
+BATCH = 1 << 24  # bytes of texts or shingles that reach Python at a time; a single longer row comes alone
 _SEEDS = mix(np.arange(1, LINE_BANDS * ROWS + 1, dtype=np.uint64))
 
 
@@ -379,21 +380,29 @@ def _clusters(rows: pa.Table, least: int, of: int, every: bool) -> pa.RecordBatc
     )
 
 
+def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch sorted by group in portions of whole groups: up to GROUP shingles or a single group, the last one by itself."""
+    lead = np.flatnonzero(_lead(np.asarray(batch.column(0))))
+    edge = np.append(lead, batch.num_rows)
+    sent = np.asarray(batch.column(5).offsets)[edge]
+    low = 0
+    while low < len(lead) - 1:
+        high = max(low + 1, int(np.searchsorted(sent[:-1], sent[low] + GROUP, "right")) - 1)
+        yield batch.slice(edge[low], edge[high] - edge[low])
+        low = high
+    yield batch.slice(edge[low])
+
+
 def _cluster_batches(least: int, of: int, every: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Batches are sorted by group; the last group of a batch waits for the next one."""
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            grp = np.asarray(batch.column(0))
-            if not len(grp):
-                continue
-            cut = int(np.searchsorted(grp, grp[-1]))
-            if held and np.asarray(held[0].column(0))[0] != grp[-1]:
-                yield _clusters(pa.Table.from_batches([*held, batch.slice(0, cut)]), least, of, every)
-                held = []
-            elif not held and cut:
-                yield _clusters(pa.Table.from_batches([batch.slice(0, cut)]), least, of, every)
-            held.append(batch.slice(cut))
+            for part in _portions(batch) if batch.num_rows else ():
+                if held and held[-1].column(0)[-1] != part.column(0)[0]:
+                    yield _clusters(pa.Table.from_batches(held), least, of, every)
+                    held = []
+                held.append(part)
         if held:
             yield _clusters(pa.Table.from_batches(held), least, of, every)
 
@@ -457,15 +466,15 @@ def repeated_passages(docs: DataFrame, text: str = "text", least: int = 80, of:
         "doc_id IS NOT NULL"
     )
     # Whole texts reach Python in small batches, so that its workers and the Arrow buffers of the JVM stay small.
-    with small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession, size=BATCH):
         knots = written(rows.mapInArrow(_knot_batches, KNOTS), "knots")
-    # Knots in turn that share a band; one that meets itself is in several rows.
-    turn = Window.partitionBy("key").orderBy("root")
+    # Knots that share a band are linked with the least of them, so that chains stay short; one that meets itself is in several rows.
+    turn = Window.partitionBy("key").orderBy("root").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     links = written(knots.select(F.col("root"), F.explode("keys").alias("key")).select(
-        F.col("root").alias("u"), F.lag("root").over(turn).alias("v")
-    ).filter("v IS NOT NULL").distinct(), "meetings")
+        F.col("root").alias("u"), F.first("root").over(turn).alias("v"), F.count("*").over(turn).alias("nth")
+    ).filter("nth > 1").select("u", "v").distinct(), "meetings")
     touched = links.select(F.col("u").alias("root")).unionByName(links.select(F.col("v").alias("root"))).distinct()
-    groups = touched.join(components(links).withColumnRenamed("id", "root"), "root", "left").select(
+    groups = touched.join(components(links, stored=True).withColumnRenamed("id", "root"), "root", "left").select(
         "root", F.coalesce("component", "root").alias("grp")
     )
     # Of knots with the same pieces one is enough.
@@ -484,7 +493,7 @@ def repeated_passages(docs: DataFrame, text: str = "text", least: int = 80, of:
         n = wanted.agg(F.sum("n")).first()[0]
         return n and small_or_shuffled(rows, wanted.select("doc_id", "named"), "doc_id", n).select("doc_id", "text", "named")
 
-    with small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession, size=BATCH):
         few, wide = texts(False), texts(True)
         parts = [] if few is None else [written(few.mapInArrow(
             _class_batches, "grp long, first_doc long, last_doc long, exacts array<long>, counts array<int>, items array<long>"

@@ -34,15 +34,17 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
-    """Send at most so many rows at a time to Python, for what is run inside the block."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+def small_batches(spark: SparkSession, rows: int = 2000, size: int | None = None) -> Iterator[None]:
+    """Send at most so many rows, and about so many bytes, at a time to Python, for what is run inside the block."""
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {name: spark.conf.get(name) for name, value in wanted.items() if value is not None}
+    for name in before:
+        spark.conf.set(name, str(wanted[name]))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def remove_all() -> None:

@@ -3,10 +3,11 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from stakeflow.llm import decontaminate, exact_topk, mixture, passage_dups, token_rollup
+from stakeflow.llm import components, decontaminate, exact_topk, mixture, passage_dups, token_rollup
 from stakeflow.llm.scratch import small_batches
 from tests.llm.helpers import ODD, SMALL, least_reachable, near_components, odd_docs, words
 
@@ -313,6 +314,63 @@ def test_passages_do_not_depend_on_the_size_of_groups(spark, monkeypatch, group)
     assert sorted(passage_dups.repeated_passages(docs).collect()) == found
 
 
+def test_groups_of_one_batch_are_compared_in_portions(monkeypatch):
+    """A batch holds many groups; no more than GROUP shingles of them are compared at a time, in whole groups."""
+    rng = np.random.default_rng(24)
+    sizes = rng.integers(1, 9, 40)  # classes of each group
+    grp = np.repeat(np.arange(40), sizes)
+    base = rng.integers(0, 2**40, (40, 30))
+    items = base[grp].copy()
+    items[:, 0] = rng.integers(0, 2**40, len(grp))
+    n = len(grp)
+    rows = pa.RecordBatch.from_arrays([
+        pa.array(grp), pa.array(np.arange(n)), pa.array(np.arange(n)), passage_dups._lists(np.arange(n) * 7, np.ones(n, int)),
+        passage_dups._lists(np.full(n, 30, np.int32), np.ones(n, int)), passage_dups._lists(items.ravel(), np.full(n, 30)),
+    ], ["grp", "first_doc", "last_doc", "exacts", "counts", "items"])
+    seen, clusters = [], passage_dups._clusters
+
+    def counted(table, *args):
+        seen.append((len(set(table["grp"].to_pylist())), sum(map(len, table["items"].to_pylist()))))
+        return clusters(table, *args)
+
+    def found(width):
+        parts = [rows.slice(low, width) for low in range(0, n, width)]
+        out = passage_dups._cluster_batches(80, 100)(iter([*parts, rows.slice(0, 0)]))
+        return sorted(tuple(r.values()) for b in out for r in b.to_pylist())
+
+    whole = found(n)
+    assert {r[0] for r in whole} == {7 * i for i in range(n) if sizes[grp[i]] > 1} and len({r[1] for r in whole}) == (sizes > 1).sum()
+    monkeypatch.setattr(passage_dups, "_clusters", counted)
+    monkeypatch.setattr(passage_dups, "GROUP", 500)
+    assert found(n) == whole
+    assert sum(groups for groups, _ in seen) == 40 and any(groups > 1 for groups, _ in seen)
+    assert all(shingles <= 500 for _, shingles in seen)
+    assert found(7) == found(1) == whole
+
+
+def test_small_batches_limits_bytes_and_restores_both_settings(spark):
+    names = [f"spark.sql.execution.arrow.max{x}PerBatch" for x in ("Records", "Bytes")]
+    before = [spark.conf.get(n) for n in names]
+    with small_batches(spark, 5, size=1000):
+        assert [spark.conf.get(n) for n in names] == ["5", "1000"]
+    with small_batches(spark, 5):
+        assert [spark.conf.get(n) for n in names] == ["5", before[1]]
+    assert [spark.conf.get(n) for n in names] == before
+
+
+def test_a_passage_of_many_documents_takes_few_rounds(spark, monkeypatch):
+    """Knots that share a band are linked with one of them, not in a chain."""
+    rng = random.Random(25)
+    prose = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    shared = prose(60)
+    docs = spark.createDataFrame([(i, f"{prose(40)} {shared} {prose(40)}") for i in range(200)], "doc_id long, text string")
+    rounds, written = [], components.written
+    monkeypatch.setattr(components, "written", lambda df, purpose: rounds.append(purpose) or written(df, purpose))
+    found = passage_dups.repeated_passages(docs).collect()
+    assert {(r["doc_id"], r["first_doc"]) for r in found} == {(i, 0) for i in range(200)}
+    assert len(rounds) <= 2
+
+
 def test_linked_classes_equal_brute_force():
     rng = np.random.default_rng(23)
     sets, grp = [], []
