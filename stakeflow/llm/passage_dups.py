@@ -294,7 +294,7 @@ def _wide_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _near(a: np.ndarray, b: np.ndarray, items: np.ndarray, edges: np.ndarray, least: int, of: int) -> np.ndarray:
-    """Whether the sets a[i] and b[i] are similar enough; set j is ``items[edges[j]:edges[j + 1]]``, without repeats."""
+    """Whether the sets a[i] and b[i] are similar enough; set j is ``items[edges[j]:edges[j + 1]]``, ascending numbers below len(items)."""
     size = np.diff(edges)
     out = of * np.minimum(size[a], size[b]) >= least * np.maximum(size[a], size[b])
     todo = np.flatnonzero(out)
@@ -306,47 +306,61 @@ def _near(a: np.ndarray, b: np.ndarray, items: np.ndarray, edges: np.ndarray, le
         sets = np.concatenate([a[pair], b[pair]])
         n = size[sets]
         at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(edges[sets], n)
-        nth, item = np.repeat(np.tile(np.arange(len(pair)), 2), n), items[at]
-        by = np.lexsort((item, nth))
-        both = ~_lead(item[by], nth[by])
-        common = np.bincount(nth[by][both], minlength=len(pair))
+        # Two ascending halves, which a stable sort merges.
+        key = np.sort(np.repeat(np.tile(np.arange(len(pair)) * len(items), 2), n) + items[at], kind="stable")
+        common = np.bincount(key[1:][key[1:] == key[:-1]] // len(items), minlength=len(pair))
         out[pair] = of * common >= least * (size[a[pair]] + size[b[pair]] - common)
         low = high
     return out
 
 
+def most_of_partner(size: np.ndarray, place: np.ndarray, least: int, of: int) -> np.ndarray:
+    """The largest size of a set that can be similar to a set of ``size`` items if the first one they share is at ``place``, from 0.
+
+    Similar sets of a and b items share at least (a + b) * least / (of + least).
+    """
+    return np.minimum((size - place) * (of + least) // least - size, size * of // least)
+
+
 def linked_classes(grp: np.ndarray, items: np.ndarray, edges: np.ndarray, least: int, of: int) -> np.ndarray:
-    """The least index that each set is linked with, over any number of links inside its group.
+    """The least index that each set is linked with, over any number of links inside its group; a set's items ascend.
 
-    Similar sets share one of their first size - ceil(size * least / of) + 1 items in any one order; here the rarest
-    items of the group come first.
+    The items of a set are put in one order, the rarest of the group first. What two sets share lies behind the first
+    item they share, so an item's place bounds the size of the sets that may be similar and share no item before it.
+    Only pairs within the bounds of both are compared.
     """
     size = np.diff(edges)
     owner = np.repeat(np.arange(len(size)), size)
     by = np.lexsort((items, grp[owner]))
-    run = np.flatnonzero(_lead(items[by], grp[owner[by]]))
-    often = np.diff(np.append(run, len(by)))
-    rare = np.empty(len(by), np.int64)
-    rare[by] = np.repeat(often, often)
-    ranked = items[np.lexsort((items, rare, owner))]
-    some = np.arange(len(items)) - edges[owner] < (size - (least * size + of - 1) // of + 1)[owner]
-    owner, item = owner[some], ranked[some]
-    by = np.lexsort((owner, item, grp[owner]))
-    owner, item = owner[by], item[by]
-    lead = _lead(item, grp[owner])
-    stop = np.append(np.flatnonzero(lead), len(item))[np.cumsum(lead)]
-    label, step = np.arange(len(size)), 1
-    at = np.arange(len(item))
-    while len(at := at[at + step < stop[at]]):
-        for low in range(0, len(at), CHUNK):
-            x = at[low:low + CHUNK]
-            a, b = owner[x], owner[x + step]
-            apart = label[a] != label[b]
-            pair = np.unique(a[apart] * len(size) + b[apart])
-            a, b = pair // len(size), pair % len(size)
-            near = _near(a, b, items, edges, least, of)
-            label = joined(a[near], b[near], label)
-        step += 1
+    lead = _lead(items[by], grp[owner[by]])
+    often = np.diff(np.append(np.flatnonzero(lead), len(by)))
+    number = np.empty(len(by), np.int64)  # of an item in its group
+    number[by] = np.cumsum(lead) - 1
+    by = np.lexsort((number, often[number], owner))
+    most = most_of_partner(size[owner], np.arange(len(by)) - edges[owner], least, of)
+    some = (most * of >= least * size[owner]) & (often[number[by]] > 1)
+    item, owner, most = number[by][some], owner[some], most[some]
+    label = np.arange(len(size))
+    top = int(size.max(initial=0)) + 1
+    for steps in (16, len(item)):  # after some steps, sets of one size that are linked already lie together and are passed over
+        by = np.lexsort((label[owner], size[owner], item))
+        item, owner, most = item[by], owner[by], most[by]
+        run = item * top
+        stop = np.searchsorted(run + size[owner], run + np.minimum(most, top - 1), "right")
+        last = np.flatnonzero(np.append(_lead(item, size[owner], label[owner])[1:], True))
+        begin = last[np.searchsorted(last, np.arange(len(item)))]
+        at, step = np.arange(len(item)), 1
+        while step <= steps and len(at := at[begin[at] + step < stop[at]]):
+            for low in range(0, len(at), CHUNK):
+                x = at[low:low + CHUNK]
+                y = begin[x] + step
+                a, b = owner[x], owner[y]
+                apart = (label[a] != label[b]) & (most[y] >= size[a])
+                pair = np.unique(a[apart] * len(size) + b[apart])
+                a, b = pair // len(size), pair % len(size)
+                near = _near(a, b, number, edges, least, of)
+                label = joined(a[near], b[near], label)
+            step += 1
     return label
 
 
@@ -412,21 +426,34 @@ def _cluster_batches(least: int, of: int, every: bool = False):
 def _wide_clusters(rows: DataFrame, least: int, of: int) -> DataFrame:
     """(exact, cluster, first_doc) like ``_clusters``, for groups too large for one task.
 
-    Classes of a group meet where they share one of the first items that similar sets must share. Where too many meet,
-    they are linked with the first of them, and the rest is found as in ``near_dups``.
+    Classes of a group meet where the first item that they share can be, as in ``linked_classes``. Where too many meet,
+    they are linked with the one that has most room, and the rest is found as in ``near_dups``.
     """
     found = written(rows.mapInArrow(_wide_batches, "exact long, grp long, first_doc long, last_doc long, items array<long>"), "wide")
     sets = written(found.groupBy("exact").agg(
         F.min("grp").alias("grp"), F.min("first_doc").alias("first_doc"), F.max("last_doc").alias("last_doc"), F.first("items").alias("items")
     ), "shingles")
+    # The rarest items of a group come first, so that few sets meet; an item of one set alone only takes a place.
     size = F.size("items").cast("long")
-    heads = sets.select("exact", "grp", size.alias("size"), F.explode(F.slice(
-        "items", F.lit(1), (size - F.ceil(size * least / of) + 1).cast("int")
-    )).alias("item"))
+    each = sets.select("exact", "grp", size.alias("size"), F.explode("items").alias("item"))
+    often = written(each.groupBy("grp", "item").agg(F.count("*").alias("n")).filter("n > 1"), "often")
+    ranked = each.join(often, ["grp", "item"]).groupBy("exact", "grp", "size").agg(
+        F.sort_array(F.collect_list(F.struct("n", "item"))).alias("shared")
+    ).withColumn("alone", F.col("size") - F.size("shared"))
+    behind = F.col("size") - F.col("alone") - F.col("place")
+    heads = written(ranked.select("exact", "grp", "size", "alone", F.posexplode(F.slice(
+        "shared", F.lit(1), F.greatest(F.lit(0), F.col("size") - F.ceil(F.col("size") * least / of) + 1 - F.col("alone")).cast("int")
+    )).alias("place", "s")).select("exact", "grp", "size", F.col("s.item").alias("item"), F.least(
+        F.floor(behind * (of + least) / least) - F.col("size"), F.floor(F.col("size") * of / least)
+    ).alias("most")), "heads")
+    # The smaller set of a pair has room for one of its size; ``floor`` is the least such set.
     met = written(heads.groupBy("grp", "item").agg(
-        F.count("*").alias("n"), F.sum("size").alias("shingles"), F.min("exact").alias("centre")
-    ).filter("n > 1").drop("n"), "met")
-    dealt = heads.join(met, ["grp", "item"]).select(F.xxhash64("grp", "item").alias("grp"), "exact", "shingles", "centre")
+        F.count("*").alias("n"), F.sum("size").alias("shingles"), F.max(F.struct(F.col("most") - F.col("size"), "exact"))["exact"].alias("centre"),
+        F.min(F.when(F.col("most") >= F.col("size"), F.col("size"))).alias("floor"),
+    ).filter("n > 1 AND floor IS NOT NULL").drop("n"), "met")
+    dealt = heads.join(met, ["grp", "item"]).filter("most >= floor").select(
+        F.xxhash64("grp", "item").alias("grp"), "exact", "shingles", "centre"
+    )
     near = written(dealt.filter(F.col("shingles") <= GROUP).select("grp", "exact").join(sets.drop("grp"), "exact").select(
         "grp", "first_doc", "last_doc", F.array("exact").alias("exacts"), F.array(F.size("items")).alias("counts"), "items"
     ).repartition("grp").sortWithinPartitions("grp").mapInArrow(

@@ -389,3 +389,48 @@ def test_linked_classes_equal_brute_force():
         if grp[a] == grp[b] and 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))
     ]
     assert found.tolist() == [least_reachable(range(len(sets)), links)[i] for i in range(len(sets))]
+
+
+def test_edited_copies_in_one_group_are_compared_with_few(monkeypatch):
+    """Copies with edits of their own share most shingles but are not similar; few pairs of them are compared."""
+    rng = np.random.default_rng(26)
+    base = rng.integers(0, 2**40, 22)
+    sets = []
+    for i in range(300):  # more edits than a similar set can have, but for the last ones
+        own, n = base.copy(), rng.integers(3, 5) if i < 290 else 1
+        own[rng.permutation(22)[:n]] = rng.integers(2**41, 2**42, n)
+        sets.append(np.unique(own))
+    edges = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    pairs, near = [], passage_dups._near
+    monkeypatch.setattr(passage_dups, "_near", lambda a, *args: pairs.append(len(a)) or near(a, *args))
+    found = passage_dups.linked_classes(np.zeros(300, int), np.concatenate(sets), edges, 80, 100)
+    links = [
+        (a, b) for a in range(300) for b in range(a)
+        if 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))
+    ]
+    assert found.tolist() == [least_reachable(range(300), links)[i] for i in range(300)]
+    assert len(set(found)) < 300 and sum(pairs) < 300 * 10
+
+
+def test_large_groups_of_edited_copies_meet_by_rare_shingles(spark, monkeypatch):
+    """A shingle of all copies is no reason to compare them, however their hashes lie."""
+    rng = random.Random(27)
+    passage = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+    texts = {}
+    for i in range(80):
+        own = list(passage)
+        for at in (rng.randint(4, 24), rng.randint(30, 55)):  # 10 of 56 shingles
+            own[at] = f"edit{rng.random()}"
+        texts[i] = " ".join(own)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = sorted(passage_dups.repeated_passages(docs).collect())
+    tables, written = {}, passage_dups.written
+
+    def kept(df, purpose):
+        tables[purpose] = written(df, purpose)
+        return tables[purpose]
+
+    monkeypatch.setattr(passage_dups, "written", kept)
+    monkeypatch.setattr(passage_dups, "GROUP", 2500)
+    assert sorted(passage_dups.repeated_passages(docs).collect()) == found
+    assert tables["wide"].count() > 0 and tables["proposed"].count() == 0
